@@ -125,7 +125,7 @@ def _served(history: DataFrame) -> DataFrame:
 
 
 def _incremental(history: DataFrame) -> DataFrame:
-    return snapshots.newer_than(history, snapshots.high_water_mark(_served(history)).scalar())
+    return snapshots.newer_than_target(history, _served(history))
 
 
 def _currency_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,10 +144,6 @@ def _currency_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- streaming queries
 
 
-def _bronze_files(spark: SparkSession, sf_dir: str, paths: Paths) -> None:
-    fixtures.write_bronze(_bronze(spark, sf_dir), paths.bronze)
-
-
 def _finish(query) -> None:
     query.awaitTermination()
 
@@ -163,12 +159,13 @@ def _bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     _finish(streaming.bronze_stream(arriving, paths, ALL_NOW))
     table = parquet_table(spark, paths.bronze, schemas.BRONZE)
     fields = silver.parse(table.select("json_data")).select("transaction_id", "amount", "city")
-    return fields.join(table.select(F.col("offset").cast("string").alias("transaction_id"), "partition"), "transaction_id")
+    position = table.select(F.col("offset").cast("string").alias("transaction_id"), "partition")
+    return fields.join(position, "transaction_id")
 
 
 def _silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = Paths(scratch_path(spark, "silver-stream"))
-    _bronze_files(spark, sf_dir, paths)
+    fixtures.write_bronze(_bronze(spark, sf_dir), paths.bronze)
     _finish(streaming.silver_stream(spark, paths, ALL_NOW))
     return parquet_table(spark, paths.silver, schemas.SILVER)
 
@@ -250,7 +247,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "transaction_trend": _on_history("payment_type", kpi.transaction_trend),
         "high_risk_trend": _on_history("risk_level", kpi.high_risk_trend),
         "payment_distribution": _on_history("payment_type", kpi.payment_distribution),
-        "risk_distribution": _on_history("risk_level", _rounded(kpi.risk_distribution, "share", 6)),
+        "risk_distribution": _on_history("risk_level", _rounded(kpi.risk_distribution, "share", places=6)),
         "top_cities": _on_history("city", kpi.top_cities),
         "kpi_summary": _on_histories(
             _rounded(kpi.summary, "total_revenue", "previous_revenue", "revenue_delta")
@@ -274,11 +271,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: _prepared(query) for name, query in found.items()}
 
 
-def _rounded(operator, *names: int | str):
-    """An operator with some result columns rounded, to two places or to a number given last."""
-    places = 2
-    if isinstance(names[-1], int):
-        *names, places = names
+def _rounded(operator, *names: str, places: int = 2):
+    """An operator with some result columns rounded."""
 
     def run(*frames: DataFrame) -> DataFrame:
         return operator(*frames).withColumns({name: F.round(name, places) for name in names})

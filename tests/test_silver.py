@@ -1,0 +1,102 @@
+import math
+
+from helpers import payload, rows, texts
+
+from tidemark import schemas
+from tidemark.config import Thresholds
+from tidemark.operators import bronze, silver
+
+
+def refined(spark, *values):
+    return silver.to_silver(texts(spark, *values))
+
+
+def by_id(df):
+    return {r["transaction_id"]: r for r in df.collect()}
+
+
+def test_schema(spark):
+    assert refined(spark, payload("a")).dtypes == spark.createDataFrame([], schemas.SILVER).dtypes
+
+
+def test_rows_without_id_or_amount_are_dropped(spark):
+    unusable = [
+        '{"transaction_id":"e"}',
+        '{"transaction_id":"f"',
+        "hello",
+        None,
+        "",
+        '[{"transaction_id":"g","amount":1},{"transaction_id":"h","amount":2}]',
+        '{"Transaction_ID":"k","amount":3}',
+        '{"transaction_id":"b","amount":"12.5"}',
+        '{"amount":3}',
+        '{"transaction_id":null,"amount":3}',
+    ]
+    assert refined(spark, *unusable).collect() == []
+
+
+def test_numbers_become_text_and_other_fields_are_optional(spark):
+    (row,) = refined(spark, '{"transaction_id":7,"user_id":1,"amount":1}').collect()
+    assert (row["transaction_id"], row["user_id"], row["merchant_id"], row["amount"]) == ("7", "1", None, 1.0)
+    assert row["transaction_timestamp"] is None and row["is_night_transaction"] is False
+
+
+def test_unknown_fields_are_ignored(spark):
+    assert refined(spark, payload("a", extra={"x": [1]})).columns == schemas.SILVER.fieldNames()
+
+
+def test_nan_is_kept_as_the_highest_amount(spark):
+    (row,) = refined(spark, '{"transaction_id":"c","amount":"NaN"}').collect()
+    assert math.isnan(row["amount"]) and row["risk_level"] == "HIGH" and row["is_high_value"]
+
+
+def test_unreadable_time_keeps_the_row(spark):
+    found = refined(spark, *[payload("a", at=t) for t in ("garbage", "", None, "2001-13-45T99:00:00")])
+    assert rows(found, "transaction_timestamp", "is_night_transaction") == [(None, False)] * 4
+
+
+def test_offsets_are_converted_to_the_session_zone(spark):
+    (row,) = (
+        refined(spark, payload("a", at="2001-02-03T23:00:00-05:00"))
+        .selectExpr("date_format(transaction_timestamp, 'yyyy-MM-dd HH:mm') AS at", "is_night_transaction")
+        .collect()
+    )
+    assert tuple(row) == ("2001-02-04 04:00", True)
+
+
+def test_thresholds_are_strict(spark):
+    expected = {
+        1999.99: ("LOW", False), 2000.0: ("LOW", False), 2000.01: ("MEDIUM", False),
+        2999.99: ("MEDIUM", False), 3000.0: ("MEDIUM", False), 3000.01: ("MEDIUM", True),
+        3999.99: ("MEDIUM", True), 4000.0: ("MEDIUM", True), 4000.01: ("HIGH", True),
+    }
+    found = refined(spark, *[payload(str(a), amount=a) for a in expected])
+    assert {r["amount"]: (r["risk_level"], r["is_high_value"]) for r in found.collect()} == expected
+
+
+def test_thresholds_are_settings(spark):
+    found = silver.to_silver(texts(spark, payload("a", amount=11.0)), Thresholds(5, 10, 5, (12, 12)))
+    assert rows(found, "is_high_value", "is_night_transaction", "risk_level") == [(True, True, "HIGH")]
+
+
+def test_night_is_hour_0_to_6(spark):
+    found = by_id(refined(spark, *[payload(str(h), at=f"2001-02-03T{h:02}:59:59") for h in range(24)]))
+    assert {int(i) for i, r in found.items() if r["is_night_transaction"]} == set(range(7))
+
+
+def test_repeated_transactions_are_kept(spark):
+    assert refined(spark, payload("a"), payload("a")).count() == 2
+
+
+def test_json_is_parsed_once_per_row(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    texts(spark, payload("a")).write.parquet(path)
+    plan = silver.to_silver(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+    assert "Exchange" not in plan
+
+
+def test_bronze_keeps_text_and_position(spark):
+    source = spark.createDataFrame([(b"k", b"\xc3\xa6{", "t", 3, 5)], "key binary, value binary, topic string, partition int, offset long")
+    assert rows(bronze.to_bronze(source)) == [("æ{", "t", 3, 5)]
+    assert bronze.to_bronze(source.select("value")).columns == ["json_data"]

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import TOP_CITIES_SHOWN
 from tidemark.functions.formatting import currency, grouped_integer
 from tidemark.operators import gold
-from tidemark.operators.snapshots import TIME, latest_snapshot, latest_time, previous_time
+from tidemark.operators.snapshots import TIME, latest_snapshot, latest_time, previous_or_latest_time
 
 
 def revenue_trend(payments: DataFrame) -> DataFrame:
@@ -61,29 +63,34 @@ def summary(payments: DataFrame, risks: DataFrame, cities: DataFrame) -> DataFra
     Each history has its own clock, so latest and previous are found per table. A missing snapshot
     counts as zero.
     """
-    risk_row = _latest_and_previous(
-        risks, high_risk=F.when(F.col("risk_level") == "HIGH", F.col("transaction_count"))
-    ).select(F.struct("latest_high_risk", "previous_high_risk").alias("risk"))
-    city_row = latest_snapshot(cities).agg(F.count_distinct("city").alias("cities_covered"))
-
-    figures = (
+    parts = [
         _latest_and_previous(
             payments, revenue=F.col("total_amount"), transactions=F.col("transaction_count")
-        )
-        .withColumns({"risk": risk_row.scalar(), "cities_covered": city_row.scalar()})
-        .select(
-            F.col("latest_revenue").alias("total_revenue"),
-            "previous_revenue",
-            (F.col("latest_revenue") - F.col("previous_revenue")).alias("revenue_delta"),
-            F.col("latest_transactions").alias("total_transactions"),
-            "previous_transactions",
-            (F.col("latest_transactions") - F.col("previous_transactions")).alias("transaction_delta"),
-            F.col("risk.latest_high_risk").alias("high_risk_transactions"),
-            F.col("risk.previous_high_risk").alias("previous_high_risk"),
-            (F.col("risk.latest_high_risk") - F.col("risk.previous_high_risk")).alias("high_risk_delta"),
-            "cities_covered",
-            "last_updated",
-        )
+        ).withColumnRenamed("newest", "last_updated"),
+        _latest_and_previous(
+            risks, high_risk=F.when(F.col("risk_level") == "HIGH", F.col("transaction_count"))
+        ).drop("newest"),
+        latest_snapshot(cities).agg(F.count_distinct("city").alias("cities_covered")),
+    ]
+    # Three rows with disjoint columns become one.
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    row = stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
+
+    def delta(measure: str) -> Column:
+        return F.col(f"latest_{measure}") - F.col(f"previous_{measure}")
+
+    figures = row.select(
+        F.col("latest_revenue").alias("total_revenue"),
+        "previous_revenue",
+        delta("revenue").alias("revenue_delta"),
+        F.col("latest_transactions").alias("total_transactions"),
+        "previous_transactions",
+        delta("transactions").alias("transaction_delta"),
+        F.col("latest_high_risk").alias("high_risk_transactions"),
+        "previous_high_risk",
+        delta("high_risk").alias("high_risk_delta"),
+        "cities_covered",
+        "last_updated",
     )
     return figures.withColumns(
         {
@@ -99,8 +106,8 @@ def summary(payments: DataFrame, risks: DataFrame, cities: DataFrame) -> DataFra
 
 def _latest_and_previous(history: DataFrame, **measures: Column) -> DataFrame:
     """One row of sums over the latest and the previous snapshot, from one scan of just those two."""
-    latest, previous = latest_time(history), previous_time(history)
-    tagged = history.where(F.col(TIME) >= F.coalesce(previous, latest)).select(
+    latest = latest_time(history)
+    tagged = history.where(F.col(TIME) >= previous_or_latest_time(history)).select(
         F.col(TIME),
         (F.col(TIME) == latest).alias("_is_latest"),
         *[measure.alias(name) for name, measure in measures.items()],
@@ -112,5 +119,5 @@ def _latest_and_previous(history: DataFrame, **measures: Column) -> DataFrame:
     return tagged.agg(
         *[total(name, F.col("_is_latest")).alias(f"latest_{name}") for name in measures],
         *[total(name, ~F.col("_is_latest")).alias(f"previous_{name}") for name in measures],
-        F.max(TIME).alias("last_updated"),
+        F.max(TIME).alias("newest"),
     )

@@ -28,6 +28,12 @@ def previous_time(history: DataFrame) -> Column:
     return high_water_mark(history.where(F.col(TIME) < latest_time(history))).scalar()
 
 
+def previous_or_latest_time(history: DataFrame) -> Column:
+    """Where the two newest snapshots begin; the only one counts as both."""
+    before = F.when(F.col(TIME) < latest_time(history), F.col(TIME))
+    return history.agg(F.coalesce(F.max(before), F.max(TIME)).alias("bound")).scalar()
+
+
 def latest_snapshot(history: DataFrame) -> DataFrame:
     return history.where(F.col(TIME) == latest_time(history))
 
@@ -36,10 +42,15 @@ def previous_snapshot(history: DataFrame) -> DataFrame:
     return history.where(F.col(TIME) == previous_time(history))
 
 
-def newer_than(history: DataFrame, mark: datetime | str | Column | None, column: str = TIME) -> DataFrame:
-    """Rows strictly newer than a mark; all rows if the mark is null, as for an empty target."""
+def newer_than(history: DataFrame, mark: datetime | str | None, column: str = TIME) -> DataFrame:
+    """Rows strictly newer than a mark; all rows if there is no mark, as for an empty target."""
     if mark is None:
         return history
-    bound = mark if isinstance(mark, Column) else F.lit(mark)
+    return history.where(F.col(column) > F.lit(mark).cast("timestamp"))
+
+
+def newer_than_target(history: DataFrame, target: DataFrame, column: str = TIME) -> DataFrame:
+    """Rows strictly newer than anything in the target; all rows if the target is empty."""
     dawn = F.lit("0001-01-01 00:00:00").cast("timestamp")
-    return history.where(F.col(column) > F.coalesce(bound.cast("timestamp"), dawn))
+    mark = target.agg(F.coalesce(F.max(column), dawn).alias("mark")).scalar()
+    return history.where(F.col(column) > mark)
