@@ -87,16 +87,22 @@ def test_a_hot_id_is_reduced_before_the_shuffle(spark, tmp_path):
     assert "WindowGroupLimit" in below_shuffle and "Partial" in below_shuffle
 
 
-def test_the_ledger_is_not_shuffled_for_a_small_batch(spark, tmp_path):
+def test_comparison_with_the_ledger(spark, tmp_path):
     big, small = str(tmp_path / "ledger"), str(tmp_path / "batch")
     ids = F.col("id").cast("string").alias("transaction_id")
     spark.range(100_000).select(ids, F.lit("x").alias("city")).write.parquet(big)
     spark.range(99_990, 100_010).select(ids).write.parquet(small)
-    matching = ledger.matching_keys(spark.read.parquet(big), spark.read.parquet(small))
-    plan = matching._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
-    assert "ReadSchema: struct<transaction_id:string>" in plan
-    assert ledger.not_in(spark.read.parquet(small), matching).count() == 10
+    existing, batch = spark.read.parquet(big), spark.read.parquet(small)
+    for broadcast in (True, False):
+        matching = ledger.matching_keys(existing, batch, broadcast)
+        plan = matching._jdf.queryExecution().executedPlan().toString()
+        assert ("hashpartitioning" in plan) is not broadcast
+        assert ("BroadcastHashJoin" in plan) is broadcast and ("SortMergeJoin" in plan) is not broadcast
+        assert "ReadSchema: struct<transaction_id:string>" in plan
+        added = ledger.not_in(batch, matching, broadcast)
+        assert rows(added) == [(str(i),) for i in range(100_000, 100_010)]
+    assert ledger.key_bytes(batch).first()["bytes"] == 20 * 64 + 10 * 5 + 10 * 6
+    assert ledger.key_bytes(batch.limit(0)).first()["bytes"] == 0
 
 
 def test_arrival_columns_are_optional_with_an_order_of_ones_own(spark):

@@ -1,0 +1,22 @@
+from helpers import history, rows
+
+from tidemark import schemas
+from tidemark.plans.maintenance import compact
+from tidemark.sinks import create_table, write_batch
+from tidemark.sources import batch_table
+
+
+def test_compact_keeps_rows_and_the_newest_batch_of_each_stream(spark, tmp_path):
+    source, target, schema = str(tmp_path / "h"), str(tmp_path / "g"), schemas.gold("city")
+    create_table(spark, source, schema)
+    for stream, batches in (("s", 4), ("t", 1)):
+        for batch in range(batches):
+            snapshot = history(spark, "city", (None, 1, batch, f"2001-01-0{batch + 1} 00:00:00"), (stream, 2, 2, "2001-01-01 00:00:00"))
+            write_batch(snapshot, source, stream, batch)
+    compact(spark, source, target, schema)
+    assert rows(batch_table(spark, target, schema)) == rows(batch_table(spark, source, schema))
+    kept = sorted(str(p.parent.relative_to(target)) for p in (tmp_path / "g").glob("*/*/*.parquet"))
+    assert sorted(set(kept)) == ["stream=merged/batch=0", "stream=s/batch=3", "stream=t/batch=0"]
+    # A repeat of the newest batch replaces it.
+    write_batch(history(spark, "city", ("x", 1, 1, "2001-01-04 00:00:00")), target, "s", 3)
+    assert batch_table(spark, target, schema).count() == 2 * 4 + 1

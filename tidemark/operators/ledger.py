@@ -18,6 +18,9 @@ KEY = "transaction_id"
 # Copies of one id may stand in different partitions of the stream, whose offsets do not compare.
 ARRIVAL_ORDER = ("timestamp", "partition", "offset")
 
+# Row header, pointers and padding of one id in a hash table, generously.
+KEY_OVERHEAD_BYTES = 64
+
 
 def parse(bronze: DataFrame) -> DataFrame:
     """Typed payloads for the ledger, with their place in the stream.
@@ -56,17 +59,27 @@ def first_arrivals(
     return ranked.where(F.col("_arrival") == 1).drop("_arrival")
 
 
-def matching_keys(existing: DataFrame, candidates: DataFrame) -> DataFrame:
+def key_bytes(candidates: DataFrame) -> DataFrame:
+    """One row: an upper estimate of the memory a hash table of the ids takes."""
+    size = F.sum(F.octet_length(KEY)) + F.count("*") * KEY_OVERHEAD_BYTES
+    return candidates.agg(F.coalesce(size, F.lit(0)).alias("bytes"))
+
+
+def matching_keys(existing: DataFrame, candidates: DataFrame, broadcast: bool = False) -> DataFrame:
     """The ledger's ids that occur among the candidates.
 
-    The ledger is the streamed side: when Catalyst finds the candidate ids small enough to broadcast,
-    the ledger's id column is scanned in place and never shuffled. Otherwise both sides are shuffled on the id.
+    The ledger is the streamed side. With ``broadcast``, for candidates of a checked size, its id column
+    is scanned in place and never shuffled. Otherwise both sides are shuffled and sorted on the id, which
+    spills to disk at any size.
     """
-    return existing.select(KEY).join(candidates.select(KEY), KEY, "left_semi")
+    keys = candidates.select(KEY).hint("broadcast" if broadcast else "merge")
+    return existing.select(KEY).join(keys, KEY, "left_semi")
 
 
-def not_in(candidates: DataFrame, keys: DataFrame) -> DataFrame:
-    return candidates.join(keys.select(KEY), KEY, "left_anti")
+def not_in(candidates: DataFrame, keys: DataFrame, broadcast: bool = False) -> DataFrame:
+    """Candidates whose id is not among the keys. ``broadcast`` is for keys of a checked size."""
+    keys = keys.select(KEY)
+    return candidates.join(keys.hint("broadcast") if broadcast else keys, KEY, "left_anti")
 
 
 def entries(scored: DataFrame, created_at: datetime | str | Column | None = None) -> DataFrame:

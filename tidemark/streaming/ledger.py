@@ -20,6 +20,9 @@ from tidemark.sinks import create_table, write_batch
 from tidemark.sources import batch_table, parquet_table
 from tidemark.streaming.identity import query_id
 
+# A batch whose ids fit in this much memory per executor is compared with the ledger by broadcast.
+BROADCAST_BYTES = 128 * 1024 * 1024
+
 
 def create_ledger(spark: SparkSession, paths: Paths) -> None:
     create_table(spark, paths.ledger, schemas.LEDGER)
@@ -33,6 +36,7 @@ def write_ledger_batch(
     paths: Paths,
     order: Sequence[str | Column] = ARRIVAL_ORDER,
     rules: FraudRules = FraudRules(),
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> None:
     """Adds one micro-batch of parsed messages. A replay after a failure at any point adds nothing twice.
 
@@ -47,7 +51,10 @@ def write_ledger_batch(
 
     staged = parquet_table(spark, staging, schemas.LEDGER)
     existing = batch_table(spark, paths.ledger, schemas.LEDGER, besides=(stream, batch_id))
-    added = ledger.not_in(staged, ledger.matching_keys(existing, staged))
+    # Ids found in the ledger are some of the staged ones, so one check bounds both.
+    small = ledger.key_bytes(staged).first()["bytes"] <= broadcast_bytes
+    found = ledger.matching_keys(existing, staged, broadcast=small)
+    added = ledger.not_in(staged, found, broadcast=small)
     written = write_batch(added.select(schemas.LEDGER.fieldNames()), paths.ledger, stream, batch_id)
 
     rows = parquet_table(spark, written, schemas.LEDGER)
@@ -60,6 +67,7 @@ def ledger_stream(
     trigger: dict | None = None,
     order: Sequence[str | Column] = ARRIVAL_ORDER,
     rules: FraudRules = FraudRules(),
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> StreamingQuery:
     """``bronze`` is a stream of messages as ``operators.bronze.to_bronze`` gives them.
 
@@ -70,7 +78,7 @@ def ledger_stream(
     messages = ledger.parse(bronze).withColumn("created_at", F.current_timestamp())
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_ledger_batch(batch, batch_id, query_id(batch), paths, order, rules)
+        write_ledger_batch(batch, batch_id, query_id(batch), paths, order, rules, broadcast_bytes)
 
     writer = (
         messages.writeStream.outputMode("append")
