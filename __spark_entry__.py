@@ -42,7 +42,7 @@ def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New and repeated messages, parsed for the ledger."""
     sent = fixtures.delivered(fixtures.transactions(spark, sf_dir))
-    both = sent.unionByName(fixtures.repeated(sent))
+    both = fixtures.with_repeats(sent)
     return ledger.parse(fixtures.json_messages(both, *schemas.ARRIVAL.fieldNames()))
 
 
@@ -257,8 +257,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "high_water_mark": _on_history("payment_type", lambda df: snapshots.high_water_mark(_served(df))),
         "incremental_new_rows": _on_history("payment_type", _incremental),
         "backfill_rows": _on_history("city", lambda df: snapshots.newer_than(df, None)),
-        "freshness": _on_tables(lambda tables: monitor.freshness(tables, AS_OF_FRESH)),
-        "freshness_stale": _on_tables(lambda tables: monitor.freshness(tables, AS_OF_STALE)),
+        "freshness": _on_tables(lambda tables: monitor.freshness(monitor.table_report(tables), AS_OF_FRESH)),
+        "freshness_stale": _on_tables(lambda tables: monitor.freshness(monitor.table_report(tables), AS_OF_STALE)),
         "table_report": _on_tables(monitor.table_report),
         "bronze_stream": _bronze_stream,
         "silver_stream": _silver_stream,

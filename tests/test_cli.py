@@ -2,6 +2,7 @@ import pytest
 from helpers import history, rows, silver_rows
 
 from tidemark import cli, schemas
+from tidemark.config import HISTORY_TABLES
 from tidemark.sinks import write_batch
 from tidemark.sources import batch_table
 
@@ -37,17 +38,27 @@ def test_health(lake):
 
 
 def test_backfill_and_sync(spark, lake, monkeypatch, capsys):
-    monkeypatch.setenv("TIDEMARK_JDBC_URL", "jdbc:derby:memory:cli;create=true")
+    url = "jdbc:derby:memory:cli;create=true"
+    monkeypatch.setenv("TIDEMARK_JDBC_URL", url)
+    for dimension, table in HISTORY_TABLES.items():
+        # This database cannot compare the text type Spark would choose.
+        empty = spark.createDataFrame([], schemas.gold(dimension)).write
+        empty.option("createTableColumnTypes", f"{dimension} VARCHAR(100)").jdbc(url, table)
     cli.main(["backfill", "--root", lake.root])
     cli.main(["sync", "--root", lake.root])
     shown = capsys.readouterr().out
     assert "payment_metrics_history: 1 rows after None" in shown
     assert "payment_metrics_history: 0 rows after 2001-01-01 00:00:00" in shown
+    cli.main(["report", "--root", "elsewhere"])
+    cli.main(["dashboard", "--root", "elsewhere"])
+    cli.main(["health", "--root", "elsewhere", "--as-of", "2001-01-01 00:00:00"])
+    shown = capsys.readouterr().out
+    assert "city_metrics_history" in shown and "$20.00" in shown and "OK" in shown
 
 
 def test_arguments():
     args = cli.parser().parse_args(["ledger", "--root", "r", "--servers", "k:1", "--every", "10 seconds"])
-    assert cli._trigger(args) == {"processingTime": "10 seconds"}
+    assert cli._trigger(args) == {"processingTime": "10 seconds"} and args.option == []
     assert cli._trigger(cli.parser().parse_args(["gold", "--root", "r"])) == {"processingTime": "1 minute"}
     assert cli._trigger(cli.parser().parse_args(["silver", "--root", "r"])) is None
     assert cli._trigger(cli.parser().parse_args(["silver", "--root", "r", "--once"])) == {"availableNow": True}

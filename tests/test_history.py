@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.formatting import currency, grouped_integer
 from tidemark.operators import kpi, monitor, snapshots
+from tidemark.plans import dashboard
 
 T1, T2, T3 = (f"2001-01-0{i} 00:00:00" for i in (1, 2, 3))
 
@@ -113,23 +114,51 @@ def test_grouped_integer(spark):
     assert [r[0] for r in df.select(grouped_integer(F.col("v")).alias("text")).collect()] == ["0", "999", "1,234,567", "-1,234,567"]
 
 
+def checked(at, **tables):
+    return monitor.freshness(monitor.table_report(tables), at)
+
+
 def test_freshness(tables, empty):
-    found = {"p": tables[0], "r": tables[1], "none": empty[2]}
-    status = {r["table_name"]: (r["age_minutes"], r["status"]) for r in monitor.freshness(found, "2001-01-03 00:10:00").collect()}
+    found = checked("2001-01-03 00:10:00", p=tables[0], r=tables[1], none=empty[2])
+    status = {r["table_name"]: (r["age_minutes"], r["status"]) for r in found.collect()}
     assert status == {"p": (10.0, "OK"), "r": (1450.0, "STALE"), "none": (None, "EMPTY")}
-    later = monitor.freshness({"p": tables[0]}, "2001-01-03 00:10:00.000001").collect()
-    assert later[0]["status"] == "STALE"
+    assert rows(checked("2001-01-03 00:10:00.000001", p=tables[0]), "status") == [("STALE",)]
 
 
 def test_assert_fresh_stops_at_the_first_bad_table(tables, empty):
-    at = "2001-01-03 00:05:00"
-    monitor.assert_fresh({"p": tables[0], "c": tables[2]}, at)
+    found = checked("2001-01-03 00:05:00", p=tables[0], r=tables[1], c=tables[2], none=empty[2])
+    monitor.assert_fresh(found, ["p", "c"])
     with pytest.raises(monitor.UnhealthyTable, match="none has no records"):
-        monitor.assert_fresh({"p": tables[0], "none": empty[2], "r": tables[1]}, at)
+        monitor.assert_fresh(found, ["p", "none", "r"])
     with pytest.raises(monitor.UnhealthyTable, match=r"r is stale \(1445.00 minutes old\)"):
-        monitor.assert_fresh({"r": tables[1], "none": empty[2]}, at)
+        monitor.assert_fresh(found, ["r", "none"])
 
 
 def test_table_report(tables, empty):
     found = monitor.table_report({"p": tables[0], "none": empty[0]})
     assert rows(found.select("table_name", "n_rows")) == [("none", 0), ("p", 6)]
+
+
+def test_dashboard_frames_and_sql_on_the_histories(spark, tables):
+    named = dict(zip(("payment_metrics_history", "risk_metrics_history", "city_metrics_history"), tables))
+    frames = dashboard.frames(named)
+    assert list(frames) == [
+        "summary", "revenue_trend", "transaction_trend", "high_risk_trend", "payment_distribution",
+        "risk_distribution", "top_cities", "dimension_counts",
+    ]
+    recent = {
+        name: df.where(F.col("snapshot_time") >= snapshots.previous_or_latest_time(df)) for name, df in named.items()
+    }
+    for name, frame in dashboard.frames(named, recent).items():
+        assert rows(frame) == rows(frames[name])
+
+    dashboard.register_views(named)
+    latest = spark.sql(
+        """SELECT * FROM payment_metrics_history
+           WHERE snapshot_time = (SELECT MAX(snapshot_time) FROM payment_metrics_history)"""
+    )
+    assert rows(latest) == rows(snapshots.latest_snapshot(tables[0]))
+    trend = spark.sql(
+        "SELECT snapshot_time, SUM(total_amount) AS revenue FROM payment_metrics_history GROUP BY 1 ORDER BY 1"
+    )
+    assert trend.collect() == frames["revenue_trend"].collect()

@@ -6,10 +6,11 @@ import pytest
 from helpers import history, rows
 
 from tidemark import schemas
-from tidemark.config import JdbcTarget
+from tidemark.config import HISTORY_TABLES, JdbcTarget
+from tidemark.operators import monitor
 from tidemark.plans import serving
 from tidemark.sinks import jdbc_append, write_batch
-from tidemark.sources import jdbc_high_water_mark, jdbc_table
+from tidemark.sources import jdbc_high_water_mark, jdbc_recent, jdbc_table
 
 T1, T2, T3, T4 = (f"2001-01-0{i} 00:00:00.123456" for i in (1, 2, 3, 4))
 TABLE = "payment_metrics_history"
@@ -106,6 +107,25 @@ def test_the_mark_is_found_by_the_database(spark, target):
     assert str(jdbc_high_water_mark(spark, target, TABLE)) == "2001-01-02 00:00:00.123456"
 
 
+def test_recent_snapshots_are_chosen_by_the_database(spark, target):
+    jdbc_append(payments(spark), target, TABLE)
+    assert jdbc_recent(spark, target, TABLE).count() == 0
+    for number, at in enumerate((T1, T2, T3)):
+        jdbc_append(payments(spark, at), target, TABLE)
+        expected = payments(spark, *(T1, T2, T3)[max(0, number - 1) : number + 1])
+        assert rows(jdbc_recent(spark, target, TABLE)) == rows(expected)
+
+
+def test_report_of_the_serving_tables(spark, target):
+    for dimension, table in HISTORY_TABLES.items():
+        jdbc_append(history(spark, dimension, ("x", 1, 1, T1), ("x", 1, 1, T2)), target, table)
+    report = serving.table_report(spark, target)
+    assert report.columns == ["table_name", "n_rows", "latest_snapshot"]
+    assert rows(report, "table_name", "n_rows") == sorted((t, 2) for t in HISTORY_TABLES.values())
+    checked = monitor.freshness(report, T2)
+    monitor.assert_fresh(checked, list(HISTORY_TABLES.values()))
+
+
 def test_credentials_come_from_the_environment():
     target = JdbcTarget.from_env({"TIDEMARK_JDBC_URL": "jdbc:x", "TIDEMARK_JDBC_USER": "u", "TIDEMARK_JDBC_PASSWORD": "p"})
     assert target.properties == {"user": "u", "password": "p"}

@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from helpers import payload, texts
 
@@ -17,6 +19,7 @@ def test_kafka_options():
     bounded = kafka_options("k:9092", "t", "earliest", max_offsets=5, min_partitions=64)
     assert bounded["startingOffsets"] == "earliest"
     assert bounded["maxOffsetsPerTrigger"] == "5" and bounded["minPartitions"] == "64"
+    assert kafka_options("k", extra={"kafka.security.protocol": "SSL"})["kafka.security.protocol"] == "SSL"
 
 
 def test_kafka_needs_its_connector(spark):
@@ -53,15 +56,21 @@ def test_batch_table(spark, tmp_path):
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
 
 
-def test_scratch_is_in_the_folder_the_session_names(spark, tmp_path):
-    with settings(spark, spark__checkpoint__dir=str(tmp_path)) if _settable(spark) else settings(spark):
-        folder = shared_folder(spark)
-        assert scratch_path(spark, "x").startswith(f"{folder}/x-")
-        assert scratch_path(spark, "x") != scratch_path(spark, "x")
+class Session:
+    """What ``shared_folder`` asks a session for."""
+
+    def __init__(self, master="yarn", named=None, chosen=None):
+        self.conf = {"spark.checkpoint.dir": named} if named else {}
+        self.sparkContext = SimpleNamespace(master=master, getCheckpointDir=lambda: chosen)
 
 
-def _settable(spark):
-    return spark.conf.isModifiable("spark.checkpoint.dir")
+def test_scratch_is_in_the_folder_the_session_names(tmp_path):
+    assert shared_folder(Session(named="s3a://b/c/")) == "s3a://b/c"
+    assert shared_folder(Session(chosen="hdfs://n/c")) == "hdfs://n/c"
+    assert scratch_path(Session(named="s3a://b/c"), "x").startswith("s3a://b/c/x-")
+    with pytest.raises(ValueError):
+        shared_folder(Session())
+    assert "tidemark-" in shared_folder(Session(master="local[2]"))
 
 
 def test_settings_are_restored(spark):

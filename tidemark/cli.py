@@ -13,7 +13,7 @@ from tidemark.operators import monitor
 from tidemark.operators.bronze import to_bronze
 from tidemark.plans import dashboard, serving
 from tidemark.session import build_session
-from tidemark.sources import jdbc_table, kafka_stream
+from tidemark.sources import jdbc_recent, jdbc_table, kafka_stream
 from tidemark.streaming import ProgressLog, bronze_stream, gold_stream, ledger_stream, silver_stream
 
 
@@ -30,6 +30,7 @@ def _messages(spark: SparkSession, args, starting_offsets: str) -> DataFrame:
         topic=args.topic,
         starting_offsets=args.starting_offsets or starting_offsets,
         max_offsets=args.max_offsets,
+        extra=dict(option.split("=", 1) for option in args.option),
     )
 
 
@@ -37,12 +38,16 @@ def _limits(args) -> dict:
     return {"max_files": args.max_files, "max_bytes": args.max_bytes}
 
 
-def _tables(spark: SparkSession, args) -> dict[str, DataFrame]:
-    """The histories, from the serving database when one is configured, otherwise from the lake."""
-    if args.lake or "TIDEMARK_JDBC_URL" not in os.environ:
-        return serving.histories(spark, Paths(args.root))
-    target = JdbcTarget.from_env()
-    return {table: jdbc_table(spark, target, table) for table in HISTORY_TABLES.values()}
+def _served(args) -> JdbcTarget | None:
+    """The serving database, when one is configured and wanted."""
+    return None if args.lake or "TIDEMARK_JDBC_URL" not in os.environ else JdbcTarget.from_env()
+
+
+def _table_report(spark: SparkSession, args) -> DataFrame:
+    target = _served(args)
+    if target is None:
+        return monitor.table_report(serving.histories(spark, Paths(args.root)))
+    return serving.table_report(spark, target)
 
 
 def run_bronze(spark, args):
@@ -81,18 +86,23 @@ def run_backfill(spark, args):
 
 
 def run_health(spark, args):
-    tables = _tables(spark, args)
-    monitor.freshness(tables, args.as_of, args.stale_after).show(truncate=False)
-    monitor.assert_fresh(tables, args.as_of, args.stale_after)
+    checked = monitor.freshness(_table_report(spark, args), args.as_of, args.stale_after)
+    checked.show(truncate=False)
+    monitor.assert_fresh(checked, list(HISTORY_TABLES.values()))
 
 
 def run_report(spark, args):
-    monitor.table_report(_tables(spark, args)).show(truncate=False)
+    _table_report(spark, args).show(truncate=False)
 
 
 def run_dashboard(spark, args):
-    tables = _tables(spark, args)
-    for name, frame in dashboard.frames(*(tables[HISTORY_TABLES[d]] for d in DIMENSIONS)).items():
+    target, recent = _served(args), None
+    if target is None:
+        histories = serving.histories(spark, Paths(args.root))
+    else:
+        histories = {name: jdbc_table(spark, target, name) for name in HISTORY_TABLES.values()}
+        recent = {name: jdbc_recent(spark, target, name) for name in HISTORY_TABLES.values()}
+    for name, frame in dashboard.frames(histories, recent).items():
         print(name)
         frame.show(truncate=False, vertical=name == "summary")
 
@@ -113,6 +123,7 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--topic", default=TOPIC)
             command.add_argument("--starting-offsets")
             command.add_argument("--max-offsets", type=int)
+            command.add_argument("--option", action="append", default=[], help="a connector option, NAME=VALUE")
         if name in ("silver", "gold"):
             command.add_argument("--max-files", type=int)
             command.add_argument("--max-bytes")

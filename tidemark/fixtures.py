@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -75,14 +75,25 @@ def delivered(tx: DataFrame) -> DataFrame:
     )
 
 
+def _copy_of(delivery: DataFrame) -> list[Column]:
+    """The columns of a later copy, with another amount."""
+    changed = {
+        "amount": F.col("amount") + REPEAT_SURCHARGE,
+        "timestamp": F.col("timestamp") + F.expr("INTERVAL 20 YEARS"),
+    }
+    return [changed.get(name, F.col(name)).alias(name) for name in delivery.columns]
+
+
 def repeated(delivery: DataFrame) -> DataFrame:
-    """Later copies of one payment type's messages, with another amount."""
-    return delivery.where(F.col("payment_type") == REPEATED_TYPE).withColumns(
-        {
-            "amount": F.col("amount") + REPEAT_SURCHARGE,
-            "timestamp": F.col("timestamp") + F.expr("INTERVAL 20 YEARS"),
-        }
-    )
+    """Later copies of one payment type's messages."""
+    return delivery.where(F.col("payment_type") == REPEATED_TYPE).select(_copy_of(delivery))
+
+
+def with_repeats(delivery: DataFrame) -> DataFrame:
+    """The messages and their later copies, from one pass."""
+    original, copy = F.struct(*delivery.columns), F.struct(*_copy_of(delivery))
+    sent = F.when(F.col("payment_type") == REPEATED_TYPE, F.array(original, copy)).otherwise(F.array(original))
+    return delivery.select(F.inline(sent))
 
 
 def already_in_ledger(tx: DataFrame) -> DataFrame:

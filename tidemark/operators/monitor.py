@@ -15,44 +15,45 @@ from tidemark.operators.snapshots import TIME
 
 def table_report(tables: dict[str, DataFrame]) -> DataFrame:
     """Per table: number of rows and newest snapshot."""
-    return _per_table(
-        tables,
-        lambda df: df.agg(F.count("*").alias("n_rows"), F.max(TIME).alias("latest_snapshot")),
-    )
+    rows = [
+        table.agg(F.count("*").alias("n_rows"), F.max(TIME).alias("latest_snapshot")).select(
+            F.lit(name).alias("table_name"), "*"
+        )
+        for name, table in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def freshness(
-    tables: dict[str, DataFrame],
+    report: DataFrame,
     as_of: datetime | str | Column | None = None,
     stale_after: float = STALE_AFTER_MINUTES,
 ) -> DataFrame:
-    """Per table: newest snapshot, its age and EMPTY, STALE (older than the limit) or OK."""
-    newest = _per_table(tables, lambda df: df.agg(F.max(TIME).alias("latest_snapshot")))
+    """Per table of a report: newest snapshot, its age and EMPTY, STALE (older than the limit) or OK."""
     age = F.col("age_minutes")
-    return newest.withColumn(
-        "age_minutes", age_minutes(F.col("latest_snapshot"), as_instant(as_of))
-    ).withColumn("status", F.when(age.isNull(), "EMPTY").when(age > stale_after, "STALE").otherwise("OK"))
+    aged = report.select(
+        "table_name",
+        "latest_snapshot",
+        age_minutes(F.col("latest_snapshot"), as_instant(as_of)).alias("age_minutes"),
+    )
+    return aged.withColumn(
+        "status", F.when(age.isNull(), "EMPTY").when(age > stale_after, "STALE").otherwise("OK")
+    )
 
 
 class UnhealthyTable(RuntimeError):
     pass
 
 
-def assert_fresh(
-    tables: dict[str, DataFrame],
-    as_of: datetime | str | Column | None = None,
-    stale_after: float = STALE_AFTER_MINUTES,
-) -> None:
-    """Raises for the first table, in the given order, that is empty or stale."""
-    found = {row["table_name"]: row for row in freshness(tables, as_of, stale_after).collect()}
+def assert_fresh(checked: DataFrame, tables: list[str]) -> None:
+    """Raises for the first of the tables, in the given order, that is empty or stale.
+
+    ``checked`` is what ``freshness`` gives: one row per table.
+    """
+    found = {row["table_name"]: row for row in checked.collect()}
     for name in tables:
         row = found[name]
         if row["status"] == "EMPTY":
             raise UnhealthyTable(f"{name} has no records")
         if row["status"] == "STALE":
             raise UnhealthyTable(f"{name} is stale ({row['age_minutes']:.2f} minutes old)")
-
-
-def _per_table(tables: dict[str, DataFrame], measure) -> DataFrame:
-    rows = [measure(df).select(F.lit(name).alias("table_name"), "*") for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, rows)

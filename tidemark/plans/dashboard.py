@@ -4,17 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tidemark.config import DIMENSIONS, HISTORY_TABLES
 from tidemark.operators import kpi
 
 
-def frames(payments: DataFrame, risks: DataFrame, cities: DataFrame) -> dict[str, DataFrame]:
+def frames(
+    histories: dict[str, DataFrame], recent: dict[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """``recent`` may hold just the two newest snapshots of each history, where a source can select them."""
+    payments, risks, _ = _ordered(histories)
+    latest = _ordered(recent or histories)
     return {
-        "summary": kpi.summary(payments, risks, cities),
+        "summary": kpi.summary(*latest),
         "revenue_trend": kpi.revenue_trend(payments),
         "transaction_trend": kpi.transaction_trend(payments),
         "high_risk_trend": kpi.high_risk_trend(risks),
-        "payment_distribution": kpi.payment_distribution(payments),
-        "risk_distribution": kpi.risk_distribution(risks),
-        "top_cities": kpi.top_cities(cities),
-        "dimension_counts": kpi.dimension_counts(payments, risks, cities),
+        "payment_distribution": kpi.payment_distribution(latest[0]),
+        "risk_distribution": kpi.risk_distribution(latest[1]),
+        "top_cities": kpi.top_cities(latest[2]),
+        "dimension_counts": kpi.dimension_counts(*latest),
     }
+
+
+def register_views(histories: dict[str, DataFrame]) -> None:
+    """Makes the histories available to ``spark.sql`` under the names of their serving tables."""
+    for table, history in histories.items():
+        history.createOrReplaceTempView(table)
+
+
+def _ordered(histories: dict[str, DataFrame]) -> list[DataFrame]:
+    return [histories[HISTORY_TABLES[dimension]] for dimension in DIMENSIONS]

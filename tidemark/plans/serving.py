@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from tidemark import schemas
 from tidemark.config import DIMENSIONS, HISTORY_TABLES, JdbcTarget, Paths
 from tidemark.operators.snapshots import TIME, newer_than
 from tidemark.sinks import jdbc_append
-from tidemark.sources import batch_table, jdbc_high_water_mark
+from tidemark.sources import batch_table, jdbc_high_water_mark, jdbc_summary
 
 log = logging.getLogger("tidemark.serving")
 
@@ -83,6 +84,17 @@ def histories(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
     }
 
 
+def table_report(spark: SparkSession, target: JdbcTarget) -> DataFrame:
+    """``monitor.table_report`` of the serving tables, with one row fetched from each."""
+    rows = [
+        jdbc_summary(spark, target, table).select(
+            F.lit(table).alias("table_name"), F.col("n_rows").cast("bigint").alias("n_rows"), "latest_snapshot"
+        )
+        for table in HISTORY_TABLES.values()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _load(
     new: DataFrame,
     target: JdbcTarget,

@@ -16,9 +16,26 @@ def jdbc_table(spark: SparkSession, target: JdbcTarget, table: str) -> DataFrame
 def jdbc_high_water_mark(
     spark: SparkSession, target: JdbcTarget, table: str, column: str = "snapshot_time"
 ) -> datetime | None:
-    """The newest time in a table, found by the database: one row is fetched.
+    """The newest time in a table."""
+    return jdbc_summary(spark, target, table, column).first()["latest_snapshot"]
 
-    A maximum over ``read.jdbc`` would fetch the whole column instead.
+
+def jdbc_summary(
+    spark: SparkSession, target: JdbcTarget, table: str, column: str = "snapshot_time"
+) -> DataFrame:
+    """One row: number of rows and newest time, found by the database.
+
+    Aggregates over ``read.jdbc`` would fetch the whole column instead.
     """
-    query = f'(SELECT MAX("{column}") AS "max_time" FROM {table}) newest'
-    return jdbc_table(spark, target, query).first()["max_time"]
+    query = f'SELECT COUNT(*) AS "n_rows", MAX("{column}") AS "latest_snapshot" FROM {table}'
+    return jdbc_table(spark, target, f"({query}) summary")
+
+
+def jdbc_recent(
+    spark: SparkSession, target: JdbcTarget, table: str, column: str = "snapshot_time"
+) -> DataFrame:
+    """The rows of the two newest snapshots, chosen by the database."""
+    newest = f'SELECT MAX("{column}") FROM {table}'
+    before = f'{newest} WHERE "{column}" < ({newest})'
+    query = f'SELECT * FROM {table} WHERE "{column}" >= COALESCE(({before}), ({newest}))'
+    return jdbc_table(spark, target, f"({query}) recent")

@@ -13,10 +13,12 @@ def kafka_options(
     starting_offsets: str = "latest",
     max_offsets: int | None = None,
     min_partitions: int | None = None,
+    extra: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """Bronze starts at the latest offsets, the ledger at the earliest; both only on their first start.
 
     ``max_offsets`` bounds one micro-batch; ``min_partitions`` splits large topic partitions over more tasks.
+    ``extra`` takes any other option of the connector, such as those for security.
     """
     options = {
         "kafka.bootstrap.servers": servers,
@@ -25,7 +27,8 @@ def kafka_options(
         "maxOffsetsPerTrigger": max_offsets,
         "minPartitions": min_partitions,
     }
-    return {name: str(value) for name, value in options.items() if value is not None}
+    given = {name: str(value) for name, value in options.items() if value is not None}
+    return {**given, **(extra or {})}
 
 
 def kafka_stream(spark: SparkSession, servers: str, **options) -> DataFrame:
