@@ -40,10 +40,8 @@ def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New and repeated messages, parsed for the ledger."""
-    sent = fixtures.delivered(fixtures.transactions(spark, sf_dir))
-    both = fixtures.with_repeats(sent)
-    return ledger.parse(fixtures.json_messages(both, *schemas.ARRIVAL.fieldNames()))
+    """New and repeated messages, typed."""
+    return fixtures.with_repeats(fixtures.delivered(fixtures.transactions(spark, sf_dir)))
 
 
 def _histories(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -104,7 +104,7 @@ def test_histories_by_serving_table(spark, paths):
 
 def test_the_mark_is_found_by_the_database(spark, target):
     jdbc_append(payments(spark, T1, T2), target, TABLE)
-    assert str(jdbc_high_water_mark(spark, target, TABLE)) == "2001-01-02 00:00:00.123456"
+    assert str(jdbc_high_water_mark(spark, target, TABLE)) == "2001-01-02 00:00:00.123456+00:00"
 
 
 def test_recent_snapshots_are_chosen_by_the_database(spark, target):

@@ -1,3 +1,4 @@
+import json
 import random
 from decimal import Decimal
 
@@ -219,6 +220,10 @@ def test_ledger_stream_equals_batch_for_random_splits(spark, paths, seed, broadc
     nothing = spark.createDataFrame([], "transaction_id string")
     expected = ledger.new_transactions(ledger.parse(messages(spark, *values)), nothing)
     found = batch_table(spark, paths.ledger, schemas.LEDGER)
+    looped = {}
+    for value in map(json.loads, values):
+        looped.setdefault(value["transaction_id"], Decimal(str(value["amount"])))
+    assert rows(found, "transaction_id", "amount") == sorted(looped.items(), key=repr)
     columns = ["transaction_id", "amount", "fraud_score", "reason"]
     assert rows(found, *columns) == rows(expected, *columns)
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.config import DIMENSIONS, HISTORY_TABLES, JdbcTarget, Paths
+from tidemark.functions.timing import utc
 from tidemark.operators.snapshots import TIME, newer_than
 from tidemark.sinks import jdbc_append
 from tidemark.sources import batch_table, jdbc_high_water_mark, jdbc_summary
@@ -111,9 +112,8 @@ def _load(
     size = new.agg(F.count("*").alias("rows"), F.count(column).alias("timed")).first()
     if size["rows"] == 0:
         return SyncResult(table, mark, 0)
-    bounds = _slice_bounds(new, column, size["timed"], rows_per_transaction)
     lower = None
-    for upper in bounds:
+    for upper in _slice_bounds(new, column, size["timed"], rows_per_transaction):
         part = new.where(F.col(column) <= upper)
         if lower is not None:
             part = part.where(F.col(column) > lower)
@@ -125,9 +125,9 @@ def _load(
 def _slice_bounds(new: DataFrame, column: str, rows: int, rows_per_transaction: int) -> list[datetime]:
     """Ascending times that cut the rows into slices of about the given size; the last is the newest."""
     slices = max(1, -(-rows // rows_per_transaction))
-    fractions = [(i + 1) / slices for i in range(slices - 1)]
+    fractions = [(i + 1) / slices for i in range(slices)]
     cuts = new.agg(
-        F.max(column).alias("newest"),
-        F.percentile_approx(column, fractions or [1.0], 10 * slices).alias("cuts"),
+        F.max(F.unix_micros(column)).alias("newest"),
+        F.percentile_approx(F.unix_micros(column), fractions, 10 * slices).alias("cuts"),
     ).first()
-    return sorted({*(cuts["cuts"] if fractions else []), cuts["newest"]})
+    return [utc(micros) for micros in sorted({*cuts["cuts"], cuts["newest"]})]

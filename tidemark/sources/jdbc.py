@@ -5,8 +5,10 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.config import JdbcTarget
+from tidemark.functions.timing import utc
 
 
 def jdbc_table(spark: SparkSession, target: JdbcTarget, table: str) -> DataFrame:
@@ -17,7 +19,8 @@ def jdbc_high_water_mark(
     spark: SparkSession, target: JdbcTarget, table: str, column: str = "snapshot_time"
 ) -> datetime | None:
     """The newest time in a table."""
-    return jdbc_summary(spark, target, table, column).first()["latest_snapshot"]
+    newest = jdbc_summary(spark, target, table, column)
+    return utc(newest.select(F.unix_micros("latest_snapshot").alias("micros")).first()["micros"])
 
 
 def jdbc_summary(
