@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixtures, schemas, streaming
 from tidemark.config import Paths
-from tidemark.functions import formatting
+from tidemark.functions import formatting, parsing
 from tidemark.operators import bronze, gold, kpi, ledger, monitor, silver, snapshots
 from tidemark.session import scratch_path
 from tidemark.sources import batch_table, parquet_stream, parquet_table
@@ -156,9 +156,8 @@ def _bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     arriving = parquet_stream(spark, f"{paths.root}/messages", schemas.MESSAGES)
     _finish(streaming.bronze_stream(arriving, paths, ALL_NOW))
     table = parquet_table(spark, paths.bronze, schemas.BRONZE)
-    fields = silver.parse(table.select("json_data")).select("transaction_id", "amount", "city")
-    position = table.select(F.col("offset").cast("string").alias("transaction_id"), "partition")
-    return fields.join(position, "transaction_id")
+    fields = table.select("partition", parsing.json_fields("json_data", schemas.PAYLOAD))
+    return fields.select("transaction_id", "amount", "city", "partition")
 
 
 def _silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,8 +341,13 @@ FROM silver GROUP BY {dimension} {tail}"""
 _TOP_20 = "ORDER BY transaction_count DESC, city ASC NULLS LAST LIMIT 20"
 
 
+_TOP_20_PER_SNAPSHOT = """
+  QUALIFY row_number() OVER (PARTITION BY snapshot_time
+                             ORDER BY count(*) DESC, city ASC NULLS LAST) <= 20"""
+
+
 def _history_cte(name: str, dimension: str) -> str:
-    top = TOP_20_PER_SNAPSHOT if dimension == "city" else ""
+    top = _TOP_20_PER_SNAPSHOT if dimension == "city" else ""
     return f"""
 {name} AS (
   SELECT {dimension}, count(*) AS transaction_count, round(sum(amount), 2) AS total_amount,
@@ -356,10 +360,6 @@ def _history_cte(name: str, dimension: str) -> str:
 )"""
 
 
-TOP_20_PER_SNAPSHOT = """
-  QUALIFY row_number() OVER (PARTITION BY snapshot_time
-                             ORDER BY count(*) DESC, city ASC NULLS LAST) <= 20"""
-
 _PAYMENTS = f"WITH {_SILVER},{_history_cte('payments', 'payment_type')}"
 _RISKS = f"WITH {_SILVER},{_history_cte('risks', 'risk_level')}"
 _CITIES = f"WITH {_SILVER},{_history_cte('cities', 'city')}"
