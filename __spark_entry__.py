@@ -212,6 +212,17 @@ def entry(spark: SparkSession) -> DataFrame:
     )(spark, FLAGSHIP_DIR)
 
 
+def _corpus_queries():
+    """The module of corpus queries, or None where the subpackage is not installed."""
+    try:
+        from tidemark.llm import queries as corpus
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("tidemark.llm", "corpus_pipeline"):
+            raise
+        return None
+    return corpus
+
+
 def _prepared(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         # The layers' wall clocks are in UTC.
@@ -222,6 +233,11 @@ def _prepared(query):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    corpus = _corpus_queries()
+    return payment_queries() | (corpus.queries() if corpus else {})
+
+
+def payment_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "bronze_messages": lambda spark, sf_dir: bronze.to_bronze(
             _bronze(spark, sf_dir).select(F.col("json_data").cast("binary").alias("value"))
@@ -431,6 +447,11 @@ FROM k"""
 
 
 def oracle_sql() -> dict[str, str]:
+    corpus = _corpus_queries()
+    return payment_sql() | (corpus.oracle_sql() if corpus else {})
+
+
+def payment_sql() -> dict[str, str]:
     base = "transaction_id, user_id, merchant_id, amount, payment_type, city, transaction_timestamp"
     entry_columns = base.replace("amount", "CAST(CAST(amount AS DECIMAL(12,2)) AS DOUBLE) AS amount")
     alert_columns = "transaction_id, CAST(fraud_score AS DOUBLE) AS fraud_score, reason"
