@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import sharding, url_rules
+from tidemark.llm import sharding, substring_dedup, url_rules
 from tidemark.llm.spread import importable
 
 
@@ -14,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op7_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"), sharding.topology())
 
@@ -22,7 +28,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
 
-_QUERIES = (op7_hash_tree_sharding, op10_url_rules)
+_QUERIES = (op1_recompression_dedup, op7_hash_tree_sharding, op10_url_rules)
 
 
 def _ready(query):
