@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, sharding, substring_dedup, url_rules
+from tidemark.llm import packing, quality, sharding, substring_dedup, url_rules
 from tidemark.llm.spread import importable
 
 
@@ -30,11 +30,15 @@ def op7_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"), sharding.topology())
 
 
+def op9_zstd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
 
-_QUERIES = (op1_recompression_dedup, op6_pattern_packing, op7_hash_tree_sharding, op10_url_rules)
+_QUERIES = (op1_recompression_dedup, op6_pattern_packing, op7_hash_tree_sharding, op9_zstd_quality, op10_url_rules)
 
 
 def _ready(query):
