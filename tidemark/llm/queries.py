@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, quality, sharding, substring_dedup, url_rules
+from tidemark.llm import packing, quality, sharding, substring_dedup, toxicity, url_rules
 from tidemark.llm.spread import importable
 
 
@@ -20,6 +20,10 @@ def op1_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -38,7 +42,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
 
-_QUERIES = (op1_recompression_dedup, op6_pattern_packing, op7_hash_tree_sharding, op9_zstd_quality, op10_url_rules)
+_QUERIES = (op1_recompression_dedup, op2_crf_toxicity, op6_pattern_packing, op7_hash_tree_sharding, op9_zstd_quality, op10_url_rules)
 
 
 def _ready(query):

@@ -83,12 +83,14 @@ class Prefix:
 
 @dataclass(frozen=True)
 class Words:
-    """The words of some documents: byte places, and the number of words before each document and in all."""
+    """The words of some documents: byte places, the number of words before each document and in all, and the
+    places where the documents' texts start."""
 
     data: np.ndarray
     start: np.ndarray
     end: np.ndarray
     first: np.ndarray
+    text_start: np.ndarray
 
     def __len__(self) -> int:
         return len(self.start)
@@ -148,7 +150,7 @@ def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = NON_BLANK)
     begin[heads] = inside[heads]
     last[tails] = inside[tails]
     start = np.flatnonzero(begin)
-    return Words(data, start, np.flatnonzero(last) + 1, np.searchsorted(start, offsets))
+    return Words(data, start, np.flatnonzero(last) + 1, np.searchsorted(start, offsets), offsets)
 
 
 def sliced_words(
