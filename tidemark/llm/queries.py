@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, quality, sharding, substring_dedup, toxicity, url_rules
+from tidemark.llm import ngram_join, packing, quality, sharding, substring_dedup, toxicity, url_rules
 from tidemark.llm.spread import importable
 
 
@@ -34,6 +34,10 @@ def op7_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"), sharding.topology())
 
 
+def op8_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(_table(spark, sf_dir, "documents"))
+
+
 def op9_zstd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -42,7 +46,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
 
-_QUERIES = (op1_recompression_dedup, op2_crf_toxicity, op6_pattern_packing, op7_hash_tree_sharding, op9_zstd_quality, op10_url_rules)
+_QUERIES = (op1_recompression_dedup, op2_crf_toxicity, op6_pattern_packing, op7_hash_tree_sharding, op8_minhash_join, op9_zstd_quality, op10_url_rules)
 
 
 def _ready(query):
