@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -168,7 +169,7 @@ def hits(index: Index, column, threshold: float = THRESHOLD, overlap: float = OV
     the best passage of each row and item."""
     best: dict[tuple[int, int], tuple] = {}
     grams: dict[int, tuple] = {}
-    for lo, _hi, found in sliced_words(column, WORD_BYTES, True):
+    for lo, _hi, found in sliced_words(pc.utf8_lower(column), WORD_BYTES):
         hashes = found.hashes(0)
         passage, item, score, document, start, end = search(index, found, hashes, threshold)
         for p, k, s in zip(passage.tolist(), item.tolist(), score.tolist()):
@@ -212,7 +213,7 @@ def indexes(items: DataFrame) -> list[Index]:
     def run(batches):
         for batch in batches:
             words = []
-            for _lo, hi, found in sliced_words(batch.column("text"), WORD_BYTES, True):
+            for _lo, hi, found in sliced_words(pc.utf8_lower(batch.column("text")), WORD_BYTES):
                 hashes = found.hashes(0).view(np.int64)
                 words += [hashes[a:b] for a, b in zip(found.first[:-1], found.first[1:])]
             yield pa.RecordBatch.from_arrays(

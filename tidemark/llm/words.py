@@ -35,8 +35,18 @@ WORD_BYTES = byte_table(
     *range(0x80, 0x100),
 )
 #: ASCII capitals as small letters.
-LOWERED = np.arange(256, dtype=np.uint8)
-LOWERED[ord("A") : ord("Z") + 1] += 32
+_LOWERED = np.arange(256, dtype=np.uint8)
+_LOWERED[ord("A") : ord("Z") + 1] += 32
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """UTF-8 with the capitals of ASCII and Latin-1 as small letters, byte for byte."""
+    found = _LOWERED[data]
+    # U+00C0 to U+00DE, without the multiplication sign, are C3 80 to C3 9E.
+    second = np.flatnonzero(data[:-1] == 0xC3) + 1
+    capital = second[(data[second] >= 0x80) & (data[second] <= 0x9E) & (data[second] != 0x97)]
+    found[capital] += 0x20
+    return found
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -160,4 +170,4 @@ def sliced_words(
     data, offsets = buffers(column)
     for lo, hi in slices(offsets):
         part = data[offsets[lo] : offsets[hi]]
-        yield lo, hi, words(LOWERED[part] if lower else part, offsets[lo : hi + 1] - offsets[lo], member)
+        yield lo, hi, words(lowered(part) if lower else part, offsets[lo : hi + 1] - offsets[lo], member)
