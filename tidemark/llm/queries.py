@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, ngram_join, packing, quality, sharding, substring_dedup, toxicity, url_rules
+from tidemark.llm import decontamination, embedding_dedup, ngram_join, packing, quality, sharding, substring_dedup, toxicity, url_rules
 from tidemark.llm.spread import importable
 
 
@@ -24,6 +24,10 @@ def op2_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_pca_tiled_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.classes(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -50,7 +54,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
 
-_QUERIES = (op1_recompression_dedup, op2_crf_toxicity, op5_bm25_decontamination, op6_pattern_packing, op7_hash_tree_sharding, op8_minhash_join, op9_zstd_quality, op10_url_rules)
+_QUERIES = (op1_recompression_dedup, op2_crf_toxicity, op3_pca_tiled_dedup, op5_bm25_decontamination, op6_pattern_packing, op7_hash_tree_sharding, op8_minhash_join, op9_zstd_quality, op10_url_rules)
 
 
 def _ready(query):
