@@ -6,6 +6,7 @@ decimals become doubles. Streams run over all input with ``availableNow`` and ar
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -215,12 +216,11 @@ def entry(spark: SparkSession) -> DataFrame:
 def _corpus_queries():
     """The module of corpus queries, or None where the subpackage is not installed."""
     try:
-        from tidemark.llm import queries as corpus
+        return importlib.import_module("tidemark.llm.queries")
     except ModuleNotFoundError as missing:
-        if missing.name not in ("tidemark.llm", "corpus_pipeline"):
+        if missing.name not in ("tidemark.llm", "tidemark.llm.queries", "corpus_pipeline"):
             raise
         return None
-    return corpus
 
 
 def _prepared(query):
