@@ -82,7 +82,7 @@ def _inputs(features: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
-    sample, counts = fit_sample(docs, labels, "quality", MODULUS, HELD_OUT, rows)
+    sample, counts = fit_sample(docs, labels, "quality", MODULUS, HELD_OUT, {0: rows, 1: rows})
     texts = [t.encode() for t in sample["text"]]
     y = sample["label"].to_numpy(dtype=float)
     usable = [i for i, t in enumerate(texts) if t]
@@ -139,3 +139,15 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, threshold: f
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def accepted(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score is at least the threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows))
+
+    def run(batches):
+        of = scorer(shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array(of(batch.column("text")) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, embedding_dedup, ngram_join, packing, quality, sharding, substring_dedup, toxicity, url_rules
+import corpus_pipeline
+from tidemark.llm import (
+    decontamination,
+    embedding_dedup,
+    lm_scoring,
+    ngram_join,
+    packing,
+    quality,
+    sharding,
+    substring_dedup,
+    toxicity,
+    url_rules,
+)
 from tidemark.llm.spread import importable
 
 
@@ -28,6 +40,10 @@ def op3_pca_tiled_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.classes(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -54,7 +70,18 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
 
-_QUERIES = (op1_recompression_dedup, op2_crf_toxicity, op3_pca_tiled_dedup, op5_bm25_decontamination, op6_pattern_packing, op7_hash_tree_sharding, op8_minhash_join, op9_zstd_quality, op10_url_rules)
+_QUERIES = (
+    op1_recompression_dedup,
+    op2_crf_toxicity,
+    op3_pca_tiled_dedup,
+    op4_cross_entropy_difference,
+    op5_bm25_decontamination,
+    op6_pattern_packing,
+    op7_hash_tree_sharding,
+    op8_minhash_join,
+    op9_zstd_quality,
+    op10_url_rules,
+)
 
 
 def _ready(query):
@@ -66,8 +93,9 @@ def _ready(query):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: _ready(query) for query in _QUERIES}
+    return {query.__name__: _ready(query) for query in _QUERIES} | {"pipeline": _ready(corpus_pipeline.run)}
 
 
 def oracle_sql() -> dict[str, str]:
+    """None: hashes, fits and tokenizers are not SQL. The tests hold the queries against brute force."""
     return {}
