@@ -14,9 +14,9 @@ FIT_BYTES = 64 << 10
 
 
 def fit_sample(
-    docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, rows: int
+    docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, rows: dict[int, int]
 ) -> tuple[pd.DataFrame, dict[int, int]]:
-    """Texts with their label, at most ``rows`` per class by the hash of the id; and all learnable rows per class.
+    """Texts with their label, at most ``rows[label]`` per label by the hash of the id; and all learnable rows per class.
 
     Rows whose crc32(id) modulo ``modulus`` is ``held_out`` are not learned from, nor null labels.
     """
@@ -26,9 +26,9 @@ def fit_sample(
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     ids = None
     for value in (0, 1):
-        own = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+        own = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows[value])
         ids = own if ids is None else ids.unionAll(own)
-    # At most two times ``rows`` ids are broadcast, and as many texts come back.
+    # At most ``rows[0] + rows[1]`` ids are broadcast, and as many texts come back.
     texts = docs.select("doc_id", "text").where(F.octet_length("text") <= FIT_BYTES)
     found = texts.join(F.broadcast(ids), "doc_id").toPandas()
     found = found.sort_values(["doc_id", "text"], kind="stable").reset_index(drop=True)

@@ -7,7 +7,7 @@ gradient steps with forward-backward expectations. At scoring, forward-backward
 probability to be toxic; over a document these add up to the log odds of "no token is toxic", and a logistic
 calibration on labelled rows makes it a score. Runs of tokens of at least one half are the offending spans.
 
-The fit takes a bounded sample of labelled rows (``FIT_ROWS`` per class). The recursions run on all texts of a slice as
+The fit takes a bounded sample of labelled rows (``FIT_ROWS``, ``FIT_CLEAN_ROWS``). The recursions run on all texts of a slice as
 one chain that starts anew at each document: blocks of the chain side by side, then block by block.
 
 An empty or null text has no token and gets a score from the calibration's intercept. Without toxic labels all scores are
@@ -30,8 +30,9 @@ from tidemark.llm.words import WORD_BYTES, Words, mix, sliced_words
 
 MODULUS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
-# The fit takes at most so many labelled rows of each class.
-FIT_ROWS = 2000
+# The fit takes at most so many labelled rows, toxic and clean.
+FIT_ROWS = 800
+FIT_CLEAN_ROWS = 3200
 BUCKETS = 1 << 20
 # Lengths in bytes of the word beginnings that are features, beside the whole word.
 BEGINNINGS = (4, 5, 6, 7, 8)
@@ -63,7 +64,16 @@ def features(found: Words) -> np.ndarray:
     for n in BEGINNINGS:
         part = found.hashes(0, n)
         columns.append(np.where(length > n, mix(part + np.uint64(n)), columns[0]))
-    return (np.stack(columns, 1) % np.uint64(BUCKETS)).astype(np.int64)
+    return np.stack([(c % np.uint64(BUCKETS)).astype(np.int32) for c in columns], 1)
+
+
+def _emission(weights: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    return sum(weights[column] for column in tokens.T)
+
+
+def _summed(tokens: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sums of the tokens' values by feature bucket."""
+    return sum(np.bincount(column, values, BUCKETS) for column in tokens.T)
 
 
 def _transitions(model) -> np.ndarray:
@@ -129,64 +139,73 @@ def marginals(emission: np.ndarray, first: np.ndarray, start: float, steps: np.n
 # ---------------------------------------------------------------- fit
 
 
-def lexicon(docs: list[np.ndarray], toxic: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Feature buckets that speak for toxic documents. ``docs``: the feature rows of each document.
+def _documents(texts: pd.Series):
+    """The place and feature rows of each document, a slice of texts at a time."""
+    for lo, hi, found in sliced_words(pa.array(texts, pa.string()), WORD_BYTES, True):
+        rows = features(found)
+        for d in range(hi - lo):
+            yield lo + d, rows[found.first[d] : found.first[d + 1]]
+
+
+def lexicon(texts: pd.Series, toxic: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Feature buckets that speak for toxic documents.
 
     Copies of one toxic document share all their words; they do not make an entry, since it must have many contexts.
     """
-    present = [np.unique(d) for d in docs]
-    by_label = []
-    for value in (0, 1):
-        own = [p for p, y in zip(present, toxic) if y == value]
-        by_label.append(np.bincount(np.concatenate([np.zeros(0, np.int64), *own]), minlength=BUCKETS))
-    scale = [max(weights[toxic == value].mean(), 1e-9) if (toxic == value).any() else 1.0 for value in (0, 1)]
-    clean, bad = by_label[0] * scale[0], by_label[1] * scale[1]
-    odds = scale[1] * max((toxic == 1).sum(), 1) / (scale[0] * max((toxic == 0).sum(), 1))
-    sure = (bad + 1e-9) / (clean + 0.1 * scale[0]) >= LEXICON_ODDS * odds
+    by_label = np.zeros((2, BUCKETS))
     pairs = [np.zeros(0, np.int64)]
-    for d, y in zip(docs, toxic):
-        if y == 1 and len(d):
-            pairs.append((d * BUCKETS + np.append(d[1:, 0], 0)[:, None]).ravel())
+    for k, rows in _documents(texts):
+        by_label[toxic[k], np.unique(rows)] += 1
+        if toxic[k] and len(rows):
+            pairs.append(np.unique(rows.astype(np.int64) * BUCKETS + np.append(rows[1:, 0], 0)[:, None]))
     contexts = np.bincount(np.unique(np.concatenate(pairs)) // BUCKETS, minlength=BUCKETS)
+    scale = [max(weights[toxic == value].mean(), 1e-9) for value in (0, 1)]
+    clean, bad = by_label[0] * scale[0], by_label[1] * scale[1]
+    odds = scale[1] * (toxic == 1).sum() / (scale[0] * (toxic == 0).sum())
+    sure = (bad + 1e-9) / (clean + 0.1 * scale[0]) >= LEXICON_ODDS * odds
     return np.flatnonzero(sure & (contexts >= max(LEXICON_ROWS, LEXICON_SHARE * (toxic == 1).sum())))
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
-    sample, counts = fit_sample(docs, labels, "toxic", MODULUS, HELD_OUT, rows)
-    return fit_texts(sample["text"], sample["label"].to_numpy(dtype=int), counts)
+def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, clean_rows: int = FIT_CLEAN_ROWS) -> Model:
+    sample, counts = fit_sample(docs, labels, "toxic", MODULUS, HELD_OUT, {0: clean_rows, 1: rows})
+    return fit_texts(sample["text"], sample["label"].to_numpy(dtype=int), counts, rows)
 
 
-def fit_texts(texts: pd.Series, toxic: np.ndarray, counts: dict[int, int]) -> Model:
+def fit_texts(texts: pd.Series, toxic: np.ndarray, counts: dict[int, int], rows: int = FIT_ROWS) -> Model:
+    """The lexicon and the calibration take all texts; the CRF at most ``rows`` of each label."""
     share = prior(counts)
     empty = Model(np.zeros(1), -9.0, 0.0, -9.0, 0.0, 0.0, (), share)
     if not (toxic == 1).any() or not (toxic == 0).any():
         return empty
-    found = [(f.counts, features(f)) for _lo, _hi, f in sliced_words(pa.array(texts, pa.string()), WORD_BYTES, True)]
-    lengths = np.concatenate([c for c, _ in found])
-    tokens = np.concatenate([f for _, f in found])
-    edges = np.concatenate([[0], np.cumsum(lengths)])
-    per_doc = [tokens[lo:hi] for lo, hi in zip(edges[:-1], edges[1:])]
     weights = class_weights(toxic, counts)
     entries = np.zeros(BUCKETS, bool)
-    entries[lexicon(per_doc, toxic, weights)] = True
+    entries[lexicon(texts, toxic, weights)] = True
     if not entries.any():
         return empty
-    label = entries[tokens].any(1) & np.repeat(toxic == 1, lengths)
+    taken = np.zeros(len(toxic), bool)
+    for value in (0, 1):
+        own = np.flatnonzero(toxic == value)
+        taken[own[:: -(-len(own) // rows)]] = True
+    chosen = [(k, d) for k, d in _documents(texts) if taken[k]]
+    lengths = np.array([len(d) for _, d in chosen])
+    tokens = np.concatenate([d for _, d in chosen])
+    edges = np.concatenate([[0], np.cumsum(lengths)])
+    label = entries[tokens].any(1) & np.repeat(toxic[[k for k, _ in chosen]] == 1, lengths)
     first = np.zeros(len(tokens), bool)
     first[edges[:-1][lengths > 0]] = True
 
     # Gradient steps on the log likelihood, with step sizes by the gradients so far (AdaGrad).
     weight, start, step = np.zeros(BUCKETS), -4.0, np.log(np.array([[0.98, 0.02], [0.7, 0.3]]))
-    counted = np.bincount(tokens.ravel(), minlength=BUCKETS).astype(float)
+    counted = _summed(tokens, np.ones(len(tokens)))
     seen_w, seen_t = np.full(BUCKETS, 1e-6), np.full((2, 2), 1e-6)
     follows = np.flatnonzero(~first)
     observed = np.array(
         [[np.sum((label[follows - 1] == i) & (label[follows] == j)) for j in (0, 1)] for i in (0, 1)], float
     )
     for _ in range(STEPS):
-        p = marginals(weight[tokens].sum(1), first, start, np.exp(step))
+        p = marginals(_emission(weight, tokens), first, start, np.exp(step))
         residual = label - p
-        gradient = np.bincount(tokens.ravel(), np.repeat(residual, tokens.shape[1]), BUCKETS) / np.sqrt(counted + 1)
+        gradient = _summed(tokens, residual) / np.sqrt(counted + 1)
         gradient -= 1e-3 * weight
         seen_w += gradient**2
         weight += 0.5 * gradient / np.sqrt(seen_w)
@@ -197,8 +216,8 @@ def fit_texts(texts: pd.Series, toxic: np.ndarray, counts: dict[int, int]) -> Mo
         step += 0.1 * t / np.sqrt(seen_t)
         start += 0.1 * np.sign((label[first] - p[first]).sum())
     model = Model(weight.astype(np.float32), float(start), *map(float, step.ravel()), (), share)
-    per_token = marginals(weight[tokens].sum(1), first, model.start, _transitions(model))
-    x = _inputs(*_document_sums(per_token, lengths))
+    inputs = [evidence(model, found) for _lo, _hi, found in sliced_words(pa.array(texts, pa.string()), WORD_BYTES, True)]
+    x = _inputs(*map(np.concatenate, zip(*[(e, n) for _p, e, n in inputs])))
     return Model(**{**model.__dict__, "coefficients": tuple(fit_logistic(x, toxic.astype(float), weights))})
 
 
@@ -224,6 +243,14 @@ def _document_sums(p: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.n
     return sums[edges[1:]] - sums[edges[:-1]], lengths
 
 
+def evidence(model: Model, found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """P(toxic) of each token; each document's evidence and number of tokens."""
+    first = np.zeros(len(found), bool)
+    first[found.first[:-1][found.counts > 0]] = True
+    p = marginals(_emission(model.weights, features(found)), first, model.start, _transitions(model))
+    return p, *_document_sums(p, found.counts)
+
+
 def _inputs(evidence: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.column_stack([np.log(np.maximum(evidence, 1e-6)), np.minimum(evidence, 20), np.log1p(lengths)])
 
@@ -249,21 +276,17 @@ def tag(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         own = shared.value
-        steps, beta = _transitions(own), np.array(own.coefficients)
+        beta = np.array(own.coefficients)
         for batch in batches:
-            scores, evidence, where, spans = [], [], [], []
+            scores, totals, where, spans = [], [], [], []
             for lo, hi, found in sliced_words(batch.column("text"), WORD_BYTES, True):
-                first = np.zeros(len(found), bool)
-                first[found.first[:-1][found.counts > 0]] = True
                 if own.coefficients:
-                    p = marginals(own.weights[features(found)].sum(1), first, own.start, steps)
+                    p, total, lengths = evidence(own, found)
+                    score = sigmoid(_inputs(total, lengths) @ beta[:-1] + beta[-1])
                 else:
-                    p = np.zeros(len(found))
-                total, lengths = _document_sums(p, found.counts)
-                evidence.append(total)
-                scores.append(
-                    sigmoid(_inputs(total, lengths) @ beta[:-1] + beta[-1]) if len(beta) else np.full(hi - lo, own.share)
-                )
+                    p, total, score = np.zeros(len(found)), np.zeros(hi - lo), np.full(hi - lo, own.share)
+                scores.append(score)
+                totals.append(total)
                 document, start, end = _spans(p, found, found.text_start)
                 where.append(np.bincount(document, minlength=hi - lo))
                 spans.append(np.stack([start, end]))
@@ -274,7 +297,7 @@ def tag(docs: DataFrame, model: Model) -> DataFrame:
             columns = [
                 batch.column("doc_id"),
                 pa.array(np.concatenate([np.zeros(0), *scores])),
-                pa.array(np.concatenate([np.zeros(0), *evidence])),
+                pa.array(np.concatenate([np.zeros(0), *totals])),
                 pa.ListArray.from_arrays(pa.array(edges), pairs),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "evidence", "spans"])
