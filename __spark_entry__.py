@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import importlib
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tidemark import fixtures, schemas, streaming
 from tidemark.config import Paths
 from tidemark.functions import formatting, parsing
 from tidemark.operators import bronze, gold, kpi, ledger, monitor, silver, snapshots
+from tidemark.plans import serving
 from tidemark.session import scratch_path
 from tidemark.sources import batch_table, parquet_stream, parquet_table
 
@@ -26,6 +28,12 @@ AS_OF_FRESH = "2002-01-01 00:10:00"
 AS_OF_STALE = "2002-01-01 00:10:01"
 MARK = "1998-01-01 00:00:00"
 ALL_NOW = {"availableNow": True}
+# Small, so that a load has several parts.
+ROWS_PER_LOAD = 5
+# Transactions before this time reach silver first; files of each part are read one per trigger.
+SPLIT = "1997-01-01 00:00:00"
+FILES = 2
+STAMPS = ("2001-01-01 00:00:00", "2001-01-02 00:00:00", "2001-01-03 00:00:00", SNAPSHOT)
 
 
 # ---------------------------------------------------------------- inputs
@@ -123,8 +131,10 @@ def _served(history: DataFrame) -> DataFrame:
     return history.where(F.col("snapshot_time") <= F.lit(MARK).cast("timestamp"))
 
 
-def _incremental(history: DataFrame) -> DataFrame:
-    return snapshots.newer_than_target(history, _served(history))
+def _loaded(history: DataFrame, mark: str | None) -> DataFrame:
+    """What the serving jobs append to a target with this newest time, all transactions of it together."""
+    load = serving.pending(history, mark, rows_per_transaction=ROWS_PER_LOAD, with_untimed=mark is None)
+    return reduce(DataFrame.unionByName, load.parts)
 
 
 def _currency_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,17 +174,27 @@ def _bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = Paths(scratch_path(spark, "silver-stream"))
     fixtures.write_bronze(_bronze(spark, sf_dir), paths.bronze)
-    _finish(streaming.silver_stream(spark, paths, ALL_NOW))
+    _finish(streaming.silver_stream(spark, paths, ALL_NOW, max_files=2))
     return parquet_table(spark, paths.silver, schemas.SILVER)
 
 
-def _gold_stream(dimension: str):
+def _gold_stream(dimension: str, at: str = SNAPSHOT):
+    """The snapshot of a time in a history of four triggers, over a restart."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         paths = Paths(scratch_path(spark, "gold-stream"))
-        _silver(spark, sf_dir).write.parquet(paths.silver)
-        _finish(streaming.gold_stream(spark, paths, dimension, trigger=ALL_NOW, clock=lambda: SNAPSHOT))
+        rows, stamps = _silver(spark, sf_dir), iter(STAMPS)
+        early = F.col("transaction_timestamp") < F.lit(SPLIT).cast("timestamp")
+        for part in (early, ~early):
+            rows.where(part).repartition(FILES).write.mode("append").parquet(paths.silver)
+            stream = streaming.gold_stream(
+                spark, paths, dimension, trigger=ALL_NOW, clock=lambda: next(stamps), max_files=1
+            )
+            _finish(stream)
         history = batch_table(spark, paths.history(dimension), schemas.gold(dimension))
-        return snapshots.latest_snapshot(history)
+        if at == SNAPSHOT:
+            return snapshots.latest_snapshot(history)
+        return history.where(F.col("snapshot_time") == F.lit(at).cast("timestamp"))
 
     return query
 
@@ -268,8 +288,8 @@ def payment_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dimension_counts": _on_histories(kpi.dimension_counts),
         "currency_text": _currency_text,
         "high_water_mark": _on_history("payment_type", lambda df: snapshots.high_water_mark(_served(df))),
-        "incremental_new_rows": _on_history("payment_type", _incremental),
-        "backfill_rows": _on_history("city", lambda df: snapshots.newer_than(df, None)),
+        "incremental_new_rows": _on_history("payment_type", lambda df: _loaded(df, MARK)),
+        "backfill_rows": _on_history("city", lambda df: _loaded(df, None)),
         "freshness": _on_tables(lambda tables: monitor.freshness(monitor.table_report(tables), AS_OF_FRESH)),
         "freshness_stale": _on_tables(lambda tables: monitor.freshness(monitor.table_report(tables), AS_OF_STALE)),
         "table_report": _on_tables(monitor.table_report),
@@ -278,6 +298,7 @@ def payment_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_stream_payment": _gold_stream("payment_type"),
         "gold_stream_risk": _gold_stream("risk_level"),
         "gold_stream_city": _gold_stream("city"),
+        "gold_stream_before_restart": _gold_stream("payment_type", STAMPS[FILES - 1]),
         "ledger_stream": _ledger_stream,
         "alert_stream": _alert_stream,
     }
@@ -524,6 +545,9 @@ SELECT {base}, is_high_value, is_night_transaction, risk_level FROM silver""",
         "gold_stream_payment": f"WITH {_SILVER} {_metrics('payment_type')}",
         "gold_stream_risk": f"WITH {_SILVER} {_metrics('risk_level')}",
         "gold_stream_city": f"WITH {_SILVER} {_metrics('city', _TOP_20)}",
+        "gold_stream_before_restart": f"""WITH {_SILVER}
+SELECT * REPLACE (TIMESTAMP '{STAMPS[FILES - 1]}' AS snapshot_time)
+FROM ({_metrics('payment_type').replace('FROM silver', f"FROM silver WHERE transaction_timestamp < TIMESTAMP '{SPLIT}'")})""",
         "ledger_stream": f"{first_writes} SELECT {entry_columns} FROM scored",
         "alert_stream": f"{first_writes} SELECT {alert_columns} FROM scored WHERE is_fraud",
     }

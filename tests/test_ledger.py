@@ -1,10 +1,12 @@
 from decimal import Decimal
 
+import pytest
 from helpers import messages, payload, rows, texts
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators import ledger
+from tidemark.session import settings
 
 AT = "2001-01-01 00:00:00"
 
@@ -57,6 +59,23 @@ def test_score_uses_the_amount_before_rounding(spark):
 def test_an_amount_too_large_for_the_table_keeps_its_row_and_alert(spark):
     found = new(spark, messages(spark, payload("a", 1e11), payload("b", "NaN"), payload("c", "Infinity")))
     assert rows(found, "transaction_id", "amount", "fraud_score") == [("a", None, 95), ("b", None, 0), ("c", None, 95)]
+    sent = {r["transaction_id"]: r["amount_sent"] for r in found.collect()}
+    assert sent["a"] == 1e11 and sent["c"] == float("inf") and sent["b"] != sent["b"]
+
+
+def test_messages_without_their_place_are_refused(spark):
+    known = messages(spark, payload("a"), payload("a"))
+    for name in ("partition", "offset", "timestamp"):
+        kind = dict(known.dtypes)[name]
+        with pytest.raises(Exception, match=f"a message has no {name}"):
+            new(spark, known.withColumn(name, F.lit(None).cast(kind))).collect()
+
+
+def test_a_time_that_a_zone_skips_is_kept(spark):
+    """02:30 of that day is left out in New York."""
+    with settings(spark, spark__sql__session__timeZone="America/New_York"):
+        found = new(spark, messages(spark, payload("a", at="2024-03-10T02:30:00")))
+        assert found.select(F.col("transaction_timestamp").cast("string")).first()[0] == "2024-03-10 02:30:00"
 
 
 def test_time_is_stored_as_written(spark):

@@ -3,14 +3,17 @@
 import uuid
 
 import pytest
-from helpers import history, rows
+from helpers import history, messages, payload, rows
+from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.config import HISTORY_TABLES, JdbcTarget
-from tidemark.operators import monitor
-from tidemark.plans import serving
+from tidemark.operators import ledger, monitor
+from tidemark.plans import dashboard, serving
 from tidemark.sinks import jdbc_append, write_batch
 from tidemark.sources import jdbc_high_water_mark, jdbc_recent, jdbc_table
+from tidemark.sources.jdbc import _quoted
+from tidemark.streaming.ledger import create_ledger, write_ledger_batch
 
 T1, T2, T3, T4 = (f"2001-01-0{i} 00:00:00.123456" for i in (1, 2, 3, 4))
 TABLE = "payment_metrics_history"
@@ -86,6 +89,76 @@ def test_an_interrupted_load_continues_where_it_stopped(spark, target, monkeypat
     assert rows(jdbc_table(spark, target, TABLE)) == rows(data)
 
 
+def untimed(spark, *times):
+    return payments(spark, *times).unionByName(
+        spark.createDataFrame([("CASH", 1, 1.0, 1.0, None)], schemas.gold("payment_type"))
+    )
+
+
+@pytest.mark.parametrize("times", [(T1, T2, T3), ()])
+@pytest.mark.parametrize("size", [2, 100])
+def test_a_backfill_loads_rows_without_a_time_once(spark, target, times, size):
+    data = untimed(spark, *times)
+    first = serving.backfill(spark, data, target, TABLE, rows_per_transaction=size)
+    assert (first.rows, first.untimed) == (2 * len(times) + 1, 0)
+    again = serving.backfill(spark, data, target, TABLE, rows_per_transaction=size)
+    assert (again.rows, again.untimed) == (0, 1)
+    assert rows(jdbc_table(spark, target, TABLE)) == rows(data)
+
+
+def test_ledger_and_alerts_are_served_and_continue_after_a_failure(spark, target, paths, monkeypatch):
+    create_ledger(spark, paths)
+    sent = [[payload("a", 4600.0), payload("b", "12.34")], [payload("c", 4100.0)]]
+    for number, values in enumerate(sent):
+        batch = ledger.parse(messages(spark, *values, first=10 * number))
+        stamped = batch.withColumn("created_at", F.lit(f"2001-01-0{number + 1} 00:00:00").cast("timestamp"))
+        write_ledger_batch(stamped, number, "s", paths)
+    tables = serving.payments(spark, paths)
+    done = []
+
+    def failing(df, *others):
+        if df.columns[0] == "transaction_id" and len(done) == 3:
+            raise RuntimeError("database lost")
+        done.append(df)
+        jdbc_append(df, *others)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(serving, "jdbc_append", failing)
+        patched.setattr(serving, "ROWS_PER_TRANSACTION", 1)
+        found = serving.sync_all(spark, tables, target, load=serving.backfill)
+    assert any(r.error for r in found)
+    for _ in range(2):
+        found = serving.sync_all(spark, tables, target, load=serving.backfill)
+        assert not any(r.error for r in found)
+    served = {name: jdbc_table(spark, target, name) for name in tables}
+    for name, table in tables.items():
+        assert rows(served[name].select("transaction_id")) == rows(table.select("transaction_id"))
+    kinds = dict(served["transactions"].dtypes)
+    assert kinds["amount"] == "decimal(12,2)" and dict(served["fraud_alerts"].dtypes)["fraud_score"] == "decimal(5,2)"
+
+
+def test_trends_are_grouped_by_the_database(spark, target):
+    data = {
+        "payment_type": history(spark, "payment_type", ("UPI", 1, 10, T1), ("CARD", 2, 20, T1), ("UPI", 5, 50, T2)),
+        "risk_level": history(spark, "risk_level", ("HIGH", 1, 10, T1), ("LOW", 2, 20, T1), ("HIGH", 5, 50, T2)),
+    }
+    for dimension, df in data.items():
+        names = f"{dimension} VARCHAR(100)"
+        df.limit(0).write.option("createTableColumnTypes", names).jdbc(target.url, HISTORY_TABLES[dimension], properties=target.properties)
+        jdbc_append(df, target, HISTORY_TABLES[dimension])
+    served = dashboard.served_trends(spark, target)
+    lake = dashboard.lake_trends(
+        {HISTORY_TABLES[d]: df for d, df in data.items()} | {HISTORY_TABLES["city"]: data["risk_level"]}
+    )
+    assert list(served) == list(lake)
+    for name in lake:
+        assert served[name].collect() == lake[name].collect()
+
+
+def test_names_are_quoted_as_the_database_wants():
+    assert _quoted(JdbcTarget("jdbc:mysql://h/d"), "n") == "`n`" and _quoted(JdbcTarget("jdbc:postgresql:d"), "n") == '"n"'
+
+
 def test_a_failing_table_does_not_stop_the_others(spark, target):
     jdbc_append(payments(spark), target, TABLE)
     results = serving.sync_all(spark, {"absent": payments(spark, T1), TABLE: payments(spark, T1)}, target)

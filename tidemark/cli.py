@@ -7,13 +7,15 @@ import logging
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.config import DIMENSIONS, HISTORY_TABLES, TOPIC, JdbcTarget, Paths
 from tidemark.operators import monitor
+from tidemark.operators.snapshots import TIME
 from tidemark.operators.bronze import to_bronze
 from tidemark.plans import dashboard, serving
 from tidemark.session import build_session
-from tidemark.sources import jdbc_recent, jdbc_table, kafka_stream
+from tidemark.sources import jdbc_recent, kafka_stream
 from tidemark.streaming import ProgressLog, bronze_stream, gold_stream, ledger_stream, silver_stream
 
 
@@ -71,18 +73,24 @@ def run_ledger(spark, args):
 
 def _report(results) -> None:
     for result in results:
-        print(f"{result.table}: {result.rows} rows after {result.mark}" + (f" ({result.error})" if result.error else ""))
+        left_out = f", {result.untimed} without a time left out" if result.untimed else ""
+        error = f" ({result.error})" if result.error else ""
+        print(f"{result.table}: {result.rows} rows after {result.mark}{left_out}{error}")
     if any(result.error for result in results):
         raise SystemExit(1)
 
 
+def _served_tables(spark, args) -> dict[str, DataFrame]:
+    paths = Paths(args.root)
+    return serving.histories(spark, paths) | serving.payments(spark, paths)
+
+
 def run_sync(spark, args):
-    _report(serving.sync_all(spark, serving.histories(spark, Paths(args.root)), JdbcTarget.from_env()))
+    _report(serving.sync_all(spark, _served_tables(spark, args), JdbcTarget.from_env()))
 
 
 def run_backfill(spark, args):
-    histories = serving.histories(spark, Paths(args.root))
-    _report(serving.sync_all(spark, histories, JdbcTarget.from_env(), load=serving.backfill))
+    _report(serving.sync_all(spark, _served_tables(spark, args), JdbcTarget.from_env(), load=serving.backfill))
 
 
 def run_health(spark, args):
@@ -96,15 +104,29 @@ def run_report(spark, args):
 
 
 def run_dashboard(spark, args):
-    target, recent = _served(args), None
+    target, trends = _served(args), None
     if target is None:
-        histories = serving.histories(spark, Paths(args.root))
+        recent = serving.histories(spark, Paths(args.root))
     else:
-        histories = {name: jdbc_table(spark, target, name) for name in HISTORY_TABLES.values()}
         recent = {name: jdbc_recent(spark, target, name) for name in HISTORY_TABLES.values()}
-    for name, frame in dashboard.frames(histories, recent).items():
-        print(name)
-        frame.show(truncate=False, vertical=name == "summary")
+        trends = dashboard.served_trends(spark, target)
+    for name, frame in dashboard.frames(recent, trends).items():
+        if args.out:
+            frame.write.mode("overwrite").parquet(f"{args.out}/{name}")
+        else:
+            _print_newest(name, frame, args.last)
+
+
+def _print_newest(name: str, frame: DataFrame, last: int) -> None:
+    """All rows of a frame, or of a long trend the newest; the heading says how many there are."""
+    rows = frame.count()
+    if TIME in frame.columns and rows > last:
+        print(f"{name}: the newest {last} of {rows} rows")
+        frame = frame.orderBy(F.desc(TIME))
+        rows = last
+    else:
+        print(f"{name}: {rows} rows")
+    frame.show(rows, truncate=False, vertical=name == "summary")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -141,7 +163,9 @@ def parser() -> argparse.ArgumentParser:
     health.add_argument("--as-of")
     health.add_argument("--stale-after", type=float, default=10)
     job("report", run_report)
-    job("dashboard", run_dashboard)
+    shown = job("dashboard", run_dashboard)
+    shown.add_argument("--out", help="folder for the whole frames as Parquet, instead of printing")
+    shown.add_argument("--last", type=int, default=20, help="snapshots of a trend to print, the newest first")
     return root
 
 
@@ -150,6 +174,23 @@ def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = build_session(f"tidemark-{args.job}")
     spark.streams.addListener(ProgressLog())
-    started = args.run(spark, args)
-    for query in started or []:
-        query.awaitTermination()
+    await_all(spark, args.run(spark, args) or [])
+
+
+def await_all(spark: SparkSession, queries: list) -> None:
+    """Waits until all queries have ended. If one fails, the others are stopped and its error is raised."""
+    try:
+        while any(query.isActive for query in queries):
+            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+            _raise_failure(queries)
+        _raise_failure(queries)
+    finally:
+        for query in queries:
+            query.stop()
+
+
+def _raise_failure(queries: list) -> None:
+    for query in queries:
+        if query.exception() is not None:
+            raise query.exception()

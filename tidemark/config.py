@@ -12,6 +12,8 @@ HISTORY_TABLES = {
     "risk_level": "risk_metrics_history",
     "city": "city_metrics_history",
 }
+# The ledger and its alerts in the serving database.
+TRANSACTIONS_TABLE, ALERTS_TABLE = "transactions", "fraud_alerts"
 TOP_N = {"payment_type": None, "risk_level": None, "city": 20}
 TOP_CITIES_SHOWN = 10
 STALE_AFTER_MINUTES = 10

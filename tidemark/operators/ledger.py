@@ -52,13 +52,21 @@ def first_arrivals(
     """One row per id, the earliest in ``order``, which must not tie within an id.
 
     Spark limits each id to one row per task before the shuffle, so an id that is repeated without end
-    costs one row per task.
+    costs one row per task. Rows without their place in the stream are refused where it decides: any copy could win,
+    and another one in a replay.
     """
+    if order is ARRIVAL_ORDER:
+        order = [_known(name) for name in order]
     window = Window.partitionBy(KEY).orderBy(*order)
     ranked = transactions.withColumn("_arrival", F.row_number().over(window))
     return ranked.where(F.col("_arrival") == 1).drop("_arrival")
 
 
+def _known(name: str) -> Column:
+    refused = F.raise_error(F.lit(f"a message has no {name}; give an order of your own"))
+    return F.coalesce(F.col(name), refused)
+
+
 def key_bytes(candidates: DataFrame) -> DataFrame:
     """One row: an upper estimate of the memory a hash table of the ids takes."""
     size = F.sum(F.octet_length(KEY)) + F.count("*") * KEY_OVERHEAD_BYTES
@@ -85,12 +93,13 @@ def not_in(candidates: DataFrame, keys: DataFrame, broadcast: bool = False) -> D
 def entries(scored: DataFrame, created_at: datetime | str | Column | None = None) -> DataFrame:
     """Scored transactions in the types of the ledger table.
 
-    An amount the table cannot hold becomes null; the transaction and its score stay.
+    An amount the decimal cannot hold is null there; ``amount_sent`` has every amount as it was sent.
     """
     return scored.withColumns(
         {
+            "amount_sent": F.col("amount"),
             "amount": F.col("amount").try_cast("decimal(12,2)"),
-            "transaction_timestamp": F.col("transaction_timestamp").cast("timestamp"),
+            "transaction_timestamp": F.col("transaction_timestamp").cast("timestamp_ntz"),
             "created_at": as_instant(created_at),
         }
     ).select(schemas.LEDGER.fieldNames())

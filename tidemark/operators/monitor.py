@@ -54,6 +54,8 @@ def assert_fresh(checked: DataFrame, tables: list[str]) -> None:
     for name in tables:
         row = found[name]
         if row["status"] == "EMPTY":
-            raise UnhealthyTable(f"{name} has no records")
+            raise UnhealthyTable(f"{name}: no snapshot was ever written")
         if row["status"] == "STALE":
-            raise UnhealthyTable(f"{name} is stale ({row['age_minutes']:.2f} minutes old)")
+            raise UnhealthyTable(
+                f"{name}: the newest snapshot, of {row['latest_snapshot']}, is {row['age_minutes']:.2f} minutes old"
+            )

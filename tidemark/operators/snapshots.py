@@ -47,10 +47,3 @@ def newer_than(history: DataFrame, mark: datetime | str | None, column: str = TI
     if mark is None:
         return history
     return history.where(F.col(column) > F.lit(mark).cast("timestamp"))
-
-
-def newer_than_target(history: DataFrame, target: DataFrame, column: str = TIME) -> DataFrame:
-    """Rows strictly newer than anything in the target; all rows if the target is empty."""
-    dawn = F.lit("0001-01-01 00:00:00").cast("timestamp")
-    mark = target.agg(F.coalesce(F.max(column), dawn).alias("mark")).scalar()
-    return history.where(F.col(column) > mark)

@@ -1,4 +1,4 @@
-"""Metrics histories to the serving database."""
+"""Metrics histories, the ledger and its alerts to the serving database."""
 
 from __future__ import annotations
 
@@ -11,15 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.config import DIMENSIONS, HISTORY_TABLES, JdbcTarget, Paths
+from tidemark.config import ALERTS_TABLE, DIMENSIONS, HISTORY_TABLES, TRANSACTIONS_TABLE, JdbcTarget, Paths
 from tidemark.functions.timing import utc
+from tidemark.operators import ledger
 from tidemark.operators.snapshots import TIME, newer_than
 from tidemark.sinks import jdbc_append
-from tidemark.sources import batch_table, jdbc_high_water_mark, jdbc_summary
+from tidemark.sources import batch_table, jdbc_summary
+from tidemark.streaming.ledger import create_ledger
 
 log = logging.getLogger("tidemark.serving")
 
 ROWS_PER_TRANSACTION = 1_000_000
+CREATED = "created_at"
 
 
 @dataclass(frozen=True)
@@ -28,6 +31,17 @@ class SyncResult:
     mark: datetime | None
     rows: int
     error: str | None = None
+    # Rows without a time that were left out, since nothing tells whether the target has them.
+    untimed: int = 0
+
+
+@dataclass(frozen=True)
+class Load:
+    """What to append, in this order, and the rows without a time that are left out."""
+
+    parts: list[DataFrame]
+    rows: int
+    untimed: int
 
 
 def sync(
@@ -39,8 +53,16 @@ def sync(
     rows_per_transaction: int = ROWS_PER_TRANSACTION,
 ) -> SyncResult:
     """Appends the snapshots newer than the target's newest; everything if the target is empty."""
-    mark = jdbc_high_water_mark(spark, target, table, column)
-    return _load(newer_than(history, mark, column), target, table, column, mark, rows_per_transaction)
+    state = jdbc_summary(spark, target, table, column).select(
+        F.col("n_rows").cast("bigint").alias("n"), F.unix_micros("latest_snapshot").alias("micros")
+    ).first()
+    mark = utc(state["micros"])
+    load = pending(history, mark, column, rows_per_transaction, with_untimed=not state["n"])
+    for part in load.parts:
+        jdbc_append(part, target, table)
+    if load.untimed:
+        log.warning("%s: %s rows have no %s and were left out", table, load.untimed, column)
+    return SyncResult(table, mark, load.rows, untimed=load.untimed)
 
 
 def backfill(
@@ -62,15 +84,19 @@ def backfill(
 
 def sync_all(
     spark: SparkSession,
-    histories: dict[str, DataFrame],
+    tables: dict[str, DataFrame],
     target: JdbcTarget,
     load=sync,
 ) -> list[SyncResult]:
-    """One pass over several tables; a failing table does not keep the others from loading."""
+    """One pass over several tables; a failing table does not keep the others from loading.
+
+    A table's time is its snapshot time, or when its rows were made: all rows of one trigger share it.
+    """
     results = []
-    for table, history in histories.items():
+    for table, rows in tables.items():
+        column = TIME if TIME in rows.columns else CREATED
         try:
-            results.append(load(spark, history, target, table))
+            results.append(load(spark, rows, target, table, column))
         except Exception as error:  # noqa: BLE001 - reported per table
             log.exception("sync of %s failed", table)
             results.append(SyncResult(table, None, 0, str(error)))
@@ -85,6 +111,15 @@ def histories(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
     }
 
 
+def payments(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
+    """The ledger's transactions and the fraud alerts by the name of their serving table."""
+    create_ledger(spark, paths)
+    return {
+        TRANSACTIONS_TABLE: ledger.transactions(batch_table(spark, paths.ledger, schemas.LEDGER)),
+        ALERTS_TABLE: batch_table(spark, paths.alerts, schemas.FRAUD_ALERTS),
+    }
+
+
 def table_report(spark: SparkSession, target: JdbcTarget) -> DataFrame:
     """``monitor.table_report`` of the serving tables, with one row fetched from each."""
     rows = [
@@ -96,30 +131,39 @@ def table_report(spark: SparkSession, target: JdbcTarget) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-def _load(
-    new: DataFrame,
-    target: JdbcTarget,
-    table: str,
-    column: str,
-    mark: datetime | None,
-    rows_per_transaction: int,
-) -> SyncResult:
-    """Loads in ascending order of time, each slice of whole snapshots in one transaction.
+def pending(
+    history: DataFrame,
+    mark: datetime | str | None,
+    column: str = TIME,
+    rows_per_transaction: int = ROWS_PER_TRANSACTION,
+    with_untimed: bool = False,
+) -> Load:
+    """What a target whose newest time is ``mark`` lacks, in ascending order of time, cut into whole snapshots.
 
-    Usually there are a few rows and one slice. If a load stops early, the target's newest snapshot is
-    the last slice's, and everything up to it is there, so the next run continues behind it.
+    Usually there are a few rows and one part. If a load stops early, the target's newest snapshot is
+    the last part's, and everything up to it is there, so the next run continues behind it. Rows without a
+    time come first, with the oldest snapshots, if an empty target is to have them too.
     """
-    size = new.agg(F.count("*").alias("rows"), F.count(column).alias("timed")).first()
-    if size["rows"] == 0:
-        return SyncResult(table, mark, 0)
-    lower = None
-    for upper in _slice_bounds(new, column, size["timed"], rows_per_transaction):
-        part = new.where(F.col(column) <= upper)
+    new = newer_than(history, mark, column)
+    time, timed = F.col(column), F.count(column)
+    size = new.agg(F.count("*").alias("rows"), timed.alias("timed")).first()
+    untimed = size["rows"] - size["timed"]
+    if mark is not None:
+        untimed = history.where(time.isNull()).count()
+    bounds = _slice_bounds(new, column, size["timed"], rows_per_transaction) if size["timed"] else []
+    parts = []
+    for lower, upper in zip([None, *bounds], bounds):
+        part = time <= upper
         if lower is not None:
-            part = part.where(F.col(column) > lower)
-        jdbc_append(part, target, table)
-        lower = upper
-    return SyncResult(table, mark, size["timed"])
+            part &= time > lower
+        elif with_untimed:
+            part |= time.isNull()
+        parts.append(new.where(part))
+    if with_untimed and untimed and not parts:
+        parts.append(new.where(time.isNull()))
+    if with_untimed:
+        return Load(parts, size["rows"], 0)
+    return Load(parts, size["timed"], untimed)
 
 
 def _slice_bounds(new: DataFrame, column: str, rows: int, rows_per_transaction: int) -> list[datetime]:

@@ -12,6 +12,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
     TimestampType,
 )
 
@@ -76,12 +77,14 @@ TRANSACTIONS = _schema(
     amount=DecimalType(12, 2),
     payment_type=StringType(),
     city=StringType(),
-    transaction_timestamp=TimestampType(),
+    # As written in the message, without a zone.
+    transaction_timestamp=TimestampNTZType(),
     created_at=TimestampType(),
 )
 
-# A transaction's score is stored beside it: alerts are then a filter on the rows already written.
-SCORES = _schema(is_fraud=BooleanType(), fraud_score=IntegerType(), reason=StringType())
+# A transaction's score is stored beside it: alerts are then a filter on the rows already written. So is the amount
+# as it was sent, which the decimal column may be too narrow for.
+SCORES = _schema(is_fraud=BooleanType(), fraud_score=IntegerType(), reason=StringType(), amount_sent=DoubleType())
 
 LEDGER = extend(TRANSACTIONS, SCORES)
 

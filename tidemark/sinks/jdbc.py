@@ -10,6 +10,7 @@ from tidemark.config import JdbcTarget
 def jdbc_append(df: DataFrame, target: JdbcTarget, table: str) -> None:
     """Appends in one transaction: Spark commits per partition, and there is one.
 
-    The rows pass through a single task, so callers bound them (``plans.serving`` does).
+    The rows pass through a single task, so callers bound them (``plans.serving`` does). The shuffle leaves
+    what makes the rows, such as a scan of many files, to as many tasks as it needs.
     """
-    df.coalesce(1).write.jdbc(target.url, table, mode="append", properties=target.properties)
+    df.repartition(1).write.jdbc(target.url, table, mode="append", properties=target.properties)

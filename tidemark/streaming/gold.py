@@ -20,6 +20,8 @@ from tidemark.sinks import create_table, write_batch
 from tidemark.sources import parquet_stream
 from tidemark.streaming.identity import query_id
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def gold_stream(
     spark: SparkSession,
@@ -31,7 +33,6 @@ def gold_stream(
     max_files: int | None = None,
     max_bytes: str | None = None,
     state_partitions: int = 8,
-    snapshot_files: int = 1,
 ) -> StreamingQuery:
     """One snapshot per micro-batch with new files; none while silver is idle.
 
@@ -55,7 +56,9 @@ def gold_stream(
             rows = gold.top_n(rows, dimension, n)
         else:
             # A shuffle of one row per value. Coalescing would run the whole state update in one task.
-            rows = rows.repartition(snapshot_files)
+            # One file makes a snapshot whole: a commit moves files one by one, and a reader between two of them
+            # would take the time of half a snapshot as its mark.
+            rows = rows.repartition(1)
         write_batch(rows.select(schema.fieldNames()), history, query_id(batch), batch_id)
 
     name = f"gold_{dimension}"
@@ -67,5 +70,10 @@ def gold_stream(
     )
     if trigger:
         writer = writer.trigger(**trigger)
-    with settings(spark, spark__sql__shuffle__partitions=str(state_partitions)):
+    with settings(
+        spark,
+        spark__sql__shuffle__partitions=str(state_partitions),
+        # Values are free text: state outside the heap, with changes only in each trigger's files.
+        spark__sql__streaming__stateStore__providerClass=ROCKSDB,
+    ):
         return writer.start()
