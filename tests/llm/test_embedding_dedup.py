@@ -1,0 +1,67 @@
+import numpy as np
+from corpus_helpers import table
+from pyspark.sql import functions as F
+
+from tidemark.llm import embedding_dedup, queries
+
+
+def brute(rows, threshold=0.9):
+    """vec_id to (n_links, component_id, kept) for rows of (vec_id, vector or None)."""
+    good = [
+        (i, np.array(v, np.float32).astype(float)) for i, v in rows
+        if v and all(c is not None and np.isfinite(c) for c in v) and any(v)
+    ]
+    links = {i: set() for i, _ in rows}
+    for k, (i, x) in enumerate(good):
+        for j, y in good[k + 1 :]:
+            if len(x) == len(y) and x @ y / (np.sqrt(x @ x) * np.sqrt(y @ y)) >= threshold:
+                links[i].add(j)
+                links[j].add(i)
+    component = {}
+    for i in sorted(links):
+        todo = [i]
+        while todo:
+            x = todo.pop()
+            if x not in component:
+                component[x] = i
+                todo += links[x]
+    return {i: (len(links[i]), component[i], component[i] == i) for i in links}
+
+
+def as_dict(df):
+    return {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in df.collect()}
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("node", F.lit("!"))
+
+
+def test_odd_vectors(spark):
+    rows = [
+        (1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]),
+        (7, [1.0, 0.0]), (8, [1.0, 0.0]), (9, [2.0, 0.0]), (10, [0.9, 0.43588989]), (11, [1.0, 0.0, 0.0]), (12, [5.0]),
+        (13, [-1.0, 0.0]), (14, [1e-30, 1e-30]), (15, [1e30, 1e30]), (16, [0.5]),
+    ]
+    assert as_dict(embedding_dedup.classes(vectors(spark, rows))) == brute(rows)
+
+
+def test_empty_and_null_ids(spark):
+    assert embedding_dedup.classes(vectors(spark, []).limit(0)).count() == 0
+    found = embedding_dedup.classes(vectors(spark, [(None, [1.0]), (1, [1.0])]))
+    assert sorted(map(tuple, found.collect()), key=repr) == [(1, 0, 1, True), (None, 0, None, True)]
+
+
+def test_many_tiles_and_a_hot_group(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "TILE", 64)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 24))
+    near = centres[rng.integers(0, 40, 300)] + rng.normal(size=(300, 24)) * rng.uniform(0, 0.6, (300, 1))
+    hot = centres[0] + rng.normal(size=(150, 24)) * 0.1
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(np.concatenate([near, hot, hot[:40]]))]
+    assert as_dict(embedding_dedup.classes(vectors(spark, rows))) == brute(rows)
+
+
+def test_query(spark, sf_dir):
+    rows = [(r["vec_id"], r["embedding"]) for r in table(spark, sf_dir, "embeddings").collect()]
+    assert as_dict(queries.queries()["op3_pca_tiled_dedup"](spark, sf_dir)) == brute(rows)

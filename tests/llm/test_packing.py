@@ -1,0 +1,93 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from corpus_helpers import table
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm import packing, queries
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def ids(text):
+    return packing.encoder(PATH).tokenizer.encode(text or "", add_special_tokens=False).ids + [packing.END]
+
+
+def check(pieces, rows, sequence):
+    """Every id of every row in one piece, sequences gapless and not too long. Returns the share that is filled."""
+    expected = defaultdict(list)
+    for i, text in rows:
+        expected[i].append(ids(text))
+    sequences, by_doc = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        sequences[p["sequence_id"]].append((p["offset"], p["length"]))
+        by_doc[p["doc_id"]].append(p)
+    for i, texts in expected.items():
+        wanted = []
+        for t in texts:
+            t = np.array(t, "<u4")
+            for a in range(0, len(t), sequence):
+                own = t[a : a + sequence]
+                wanted.append((a, len(own), zlib.crc32(own.tobytes()), len(t)))
+        got = [(p["start"], p["length"], p["ids_crc32"], p["doc_tokens"]) for p in by_doc.pop(i)]
+        assert sorted(got) == sorted(wanted)
+    assert not by_doc
+    assert sorted(sequences) == list(range(len(sequences)))
+    for places in sequences.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= sequence
+    return sum(p["length"] for p in pieces) / (sequence * max(len(sequences), 1))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(st.characters(codec="utf-8"), max_size=60))
+def test_words_encode_as_the_tokenizer_does(text):
+    assert np.frombuffer(packing.encoder(PATH).encode(text), "<u4").tolist() == ids(text)[:-1]
+
+
+def test_special_strings_and_a_full_cache(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 3)
+    for text in ("<|endoftext|> It's they'LL 12ab", "ÀÉ×÷ÿ _x_ don't", "a\x1cb c\x85d", "İstanbul ΑΣ", "one two three four five six"):
+        assert np.frombuffer(packing.encoder(PATH).encode(text), "<u4").tolist() == ids(text)[:-1]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 50), max_size=20))
+def test_patterns_place_every_piece_once(histogram):
+    patterns = packing.shortest_pack_first(histogram, 64)
+    placed = defaultdict(int)
+    for count, pattern in patterns:
+        assert sum(length * times for length, times in pattern) <= 64 and count > 0
+        for length, times in pattern:
+            placed[length] += count * times
+    assert placed == histogram
+    places = packing.Places(patterns)
+    used = defaultdict(set)
+    for length, n in histogram.items():
+        sequence, offset = places.of(np.full(n, length), np.arange(n))
+        for s, o in zip(sequence.tolist(), offset.tolist()):
+            own = set(range(o, o + length))
+            assert not used[s] & own
+            used[s] |= own
+    assert sum(map(len, used.values())) == sum(k * n for k, n in histogram.items())
+
+
+def test_odd_rows(odd_docs, odd_rows):
+    check([r.asDict() for r in packing.pack(odd_docs, PATH, 64).collect()], odd_rows, 64)
+
+
+def test_empty_table(no_docs):
+    assert packing.pack(no_docs, PATH).count() == 0
+
+
+def test_query(spark, sf_dir):
+    rows = [tuple(r) for r in table(spark, sf_dir, "documents").select("doc_id", "text").collect()]
+    found = queries.queries()["op6_pattern_packing"](spark, sf_dir)
+    assert check([r.asDict() for r in found.collect()], rows, 4096) > 0.9

@@ -1,0 +1,97 @@
+import hashlib
+import re
+
+import numpy as np
+import pytest
+from corpus_helpers import table, words
+
+from tidemark.llm import queries, substring_dedup
+from tidemark.llm.words import NON_BLANK, Prefix
+from tidemark.llm.words import words as split
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(rows, size=50):
+    """(n_words, n_removed, kept text) per row in order; rows are (doc_id, text)."""
+    last = max((i for i, _ in rows if i is not None), default=0) + 1
+    ids = [last if i is None else i for i, _ in rows]
+    tokens = [WORD.findall(t or "") for _, t in rows]
+    first = {}
+    for i, w in zip(ids, tokens):
+        for a in range(len(w) - size + 1):
+            key = tuple(w[a : a + size])
+            first[key] = min(first.get(key, i), i)
+    found = []
+    for i, w in zip(ids, tokens):
+        gone = [False] * len(w)
+        for a in range(len(w) - size + 1):
+            if first[tuple(w[a : a + size])] < i:
+                gone[a : a + size] = [True] * size
+        kept = [x for x, g in zip(w, gone) if not g]
+        found.append((len(w), len(w) - len(kept), " ".join(kept)))
+    return found
+
+
+def key(row):
+    return (row[0] is None, row[0] or 0, row[1] or "")
+
+
+@pytest.mark.parametrize("size", [50, 7])
+def test_equals_brute_force_on_odd_rows(odd_docs, odd_rows, size):
+    got = sorted(
+        ((r["doc_id"], r["text"], r["n_words"], r["kept_text"], r["n_removed"]) for r in substring_dedup.dedup(odd_docs, size).collect()),
+        key=key,
+    )
+    rows = sorted(odd_rows, key=key)
+    assert [g[:2] for g in got] == rows
+    for g, (n, removed, kept) in zip(got, brute(rows, size)):
+        assert g[2:] == (n, kept, removed)
+
+
+def test_columns_come_along(odd_docs):
+    found = substring_dedup.dedup(odd_docs, carry=["chunk", "score"])
+    assert found.select("carried.chunk", "carried.score").distinct().collect() == [("!", "!")]
+
+
+def test_empty_table(no_docs):
+    assert substring_dedup.dedup(no_docs).count() == 0
+
+
+def test_passage_in_many_documents_and_shifted(spark):
+    passage = words(9, 120)
+    rows = [(i, f"{words(100 + i, 30 + i % 40)} {passage} {words(500 + i, 20 + i % 30)}") for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["kept_text"] for r in substring_dedup.dedup(docs).collect()}
+    assert [got[i] for i, _ in rows] == [kept for _, _, kept in brute(rows)]
+
+
+def test_query(spark, sf_dir):
+    rows = [tuple(r) for r in table(spark, sf_dir, "documents").select("doc_id", "text").orderBy("doc_id").collect()]
+    found = queries.queries()["op1_recompression_dedup"](spark, sf_dir)
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in found.collect()}
+    expected = {
+        i: (n, removed, hashlib.sha256(kept.encode()).hexdigest())
+        for (i, _), (n, removed, kept) in zip(rows, brute(rows))
+    }
+    assert got == expected and any(v[1] for v in got.values())
+
+
+def test_a_window_fixes_its_anchor():
+    """The same window has the same anchor wherever it stands."""
+    rng = np.random.default_rng(3)
+    shared = " ".join(f"s{x}" for x in rng.integers(0, 30, 80))
+    seen = []
+    for k in range(6):
+        text = f"{words(k, 37 + k, 20)} {shared} {words(k + 50, 61 - k, 20)}".encode()
+        found = split(np.frombuffer(text, np.uint8), np.array([0, len(text)]), NON_BLANK)
+        windows = substring_dedup.Windows(found, 50)
+        seen.append(windows.anchors()[37 + k : 37 + k + 31].tolist())
+    assert all(s == seen[0] for s in seen) and len(set(seen[0])) < 15
+
+
+def test_runs_and_pairs_shorten():
+    symbols = substring_dedup.parse(np.array([7] * 100, np.uint64), np.zeros(100, np.int64))
+    assert len(symbols.name) == 1
+    names = Prefix(np.arange(1, 1001, dtype=np.uint64)).spans(np.arange(1000), np.arange(1, 1001))
+    assert len(substring_dedup.parse(names, np.zeros(1000, np.int64)).name) < 450

@@ -39,8 +39,10 @@ def bands_and_rows(threshold: float = THRESHOLD, recall: float = RECALL, most: i
     """The most rows per band, and with them the fewest bands, that find a pair at the threshold with this probability."""
     best = None
     for rows in range(1, most + 1):
-        missed = 1 - threshold**rows
-        bands = 1 if missed <= 0 else math.ceil(math.log(1 - recall) / math.log(missed))
+        agree = threshold**rows
+        if agree < 1e-12:
+            break
+        bands = 1 if agree >= 1 else math.ceil(math.log(1 - recall) / math.log1p(-agree))
         if bands * rows <= most:
             best = bands, rows
     if best is None:

@@ -29,6 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.words import Prefix, Words, buffers, mix, sliced_words
 
@@ -347,6 +348,7 @@ def dedup(docs: DataFrame, size: int = WINDOW, carry: list[str] | None = None) -
     )
     result = "doc_id, text, carried".split(", ")
     names = [*result, "kept_text", "n_words", "n_removed"]
-    kinds = {f.name: f.dataType.simpleString() for f in dealt.schema.fields}
-    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in result], "kept_text string, n_words long, n_removed long"])
+    made = [("kept_text", T.StringType()), ("n_words", T.LongType()), ("n_removed", T.LongType())]
+    kinds = [(c, dealt.schema[c].dataType) for c in result] + made
+    schema = T.StructType([T.StructField(name, kind) for name, kind in kinds])
     return grouped.cogroup(repeated.groupBy("chunk")).applyInArrow(_kept_rows(size, names), schema)
