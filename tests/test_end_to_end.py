@@ -11,7 +11,7 @@ from tidemark import schemas, streaming
 from tidemark.config import DIMENSIONS, HISTORY_TABLES, JdbcTarget
 from tidemark.operators import monitor
 from tidemark.plans import dashboard, serving
-from tidemark.sources import batch_table, jdbc_recent, jdbc_table, parquet_stream
+from tidemark.sources import batch_table, jdbc_recent, parquet_stream
 
 
 def deliveries():
@@ -56,9 +56,8 @@ def test_messages_to_dashboard(spark, paths):
 
     # Silver and gold keep repeated transactions.
     everything = first + second
-    histories = {t: jdbc_table(spark, target, t) for t in HISTORY_TABLES.values()}
     recent = {t: jdbc_recent(spark, target, t) for t in HISTORY_TABLES.values()}
-    shown = dashboard.frames(histories, recent)
+    shown = dashboard.frames(recent, dashboard.served_trends(spark, target))
     (summary,) = shown["summary"].collect()
     assert (summary["total_transactions"], summary["previous_transactions"]) == (200, 120)
     assert round(summary["total_revenue"], 2) == round(sum(d["amount"] for d in everything), 2)

@@ -1,22 +1,61 @@
-from helpers import history, rows
+import pytest
+from helpers import ALL_NOW, history, rows, silver_rows
 
-from tidemark import schemas
+from tidemark import cli, layout, schemas, streaming
 from tidemark.plans.maintenance import compact
 from tidemark.sinks import create_table, write_batch
 from tidemark.sources import batch_table
 
+SCHEMA = schemas.gold("city")
 
-def test_compact_keeps_rows_and_the_newest_batch_of_each_stream(spark, tmp_path):
-    source, target, schema = str(tmp_path / "h"), str(tmp_path / "g"), schemas.gold("city")
-    create_table(spark, source, schema)
-    for stream, batches in (("s", 4), ("t", 1)):
+
+@pytest.fixture(autouse=True)
+def small_folds(monkeypatch):
+    monkeypatch.setattr(layout, "FOLD", 2)
+
+
+def snapshot(spark, value, day):
+    return history(spark, "city", (None, 1, day, f"2001-01-{day:02} 00:00:00"), (value, 2, 2, f"2001-01-{day:02} 00:00:00"))
+
+
+def test_closed_folds_are_merged_and_read_once(spark, tmp_path):
+    path = str(tmp_path / "h")
+    create_table(spark, path, SCHEMA)
+    for stream, batches in (("s", 5), ("t", 1)):
         for batch in range(batches):
-            snapshot = history(spark, "city", (None, 1, batch, f"2001-01-0{batch + 1} 00:00:00"), (stream, 2, 2, "2001-01-01 00:00:00"))
-            write_batch(snapshot, source, stream, batch)
-    compact(spark, source, target, schema)
-    assert rows(batch_table(spark, target, schema)) == rows(batch_table(spark, source, schema))
-    kept = sorted(str(p.parent.relative_to(target)) for p in (tmp_path / "g").glob("*/*/*.parquet"))
-    assert sorted(set(kept)) == ["stream=merged/batch=0", "stream=s/batch=3", "stream=t/batch=0"]
-    # A repeat of the newest batch replaces it.
-    write_batch(history(spark, "city", ("x", 1, 1, "2001-01-04 00:00:00")), target, "s", 3)
-    assert batch_table(spark, target, schema).count() == 2 * 4 + 1
+            write_batch(snapshot(spark, stream, batch + 1), path, stream, batch)
+    before = rows(batch_table(spark, path, SCHEMA))
+    assert compact(spark, path, SCHEMA) == 2 and compact(spark, path, SCHEMA) == 0
+    table = batch_table(spark, path, SCHEMA)
+    assert rows(table) == before and len(before) == 12
+    read = {name.split("/h")[1].rpartition("/")[0] for name in table.inputFiles()}
+    assert {r for r in read if "stream=s" in r} == {
+        "-merged/stream=s/fold=0", "-merged/stream=s/fold=1", "/stream=s/fold=2/batch=4",
+    }
+    # A repeat of the newest batch replaces it; a new batch is added.
+    write_batch(snapshot(spark, "again", 5), path, "s", 4)
+    write_batch(snapshot(spark, "s", 6), path, "s", 5)
+    assert batch_table(spark, path, SCHEMA).count() == 14
+    assert batch_table(spark, path, SCHEMA, besides=("s", 5)).count() == 12
+
+
+def test_an_incomplete_merge_is_not_read_and_done_again(spark, tmp_path):
+    path = str(tmp_path / "h")
+    for batch in range(3):
+        write_batch(snapshot(spark, "a", batch + 1), path, "s", batch)
+    compact(spark, path, SCHEMA)
+    (tmp_path / "h-merged" / "stream=s" / "fold=0" / "_SUCCESS").unlink()
+    assert batch_table(spark, path, SCHEMA).count() == 6
+    assert compact(spark, path, SCHEMA) == 1
+    assert batch_table(spark, path, SCHEMA).count() == 6
+
+
+def test_a_fold_between_two_triggers(spark, paths, capsys):
+    for number in range(5):
+        silver_rows(spark, (str(number), 10.0, "UPI", f"city{number}", "LOW")).write.mode("append").parquet(paths.silver)
+        streaming.gold_stream(spark, paths, "city", trigger=ALL_NOW).awaitTermination()
+        if number == 3:
+            cli.main(["compact", "--root", paths.root])
+    assert "city_metrics_history: 1 folds merged" in capsys.readouterr().out
+    found = batch_table(spark, paths.history("city"), SCHEMA)
+    assert sorted(r["count"] for r in found.groupBy("snapshot_time").count().collect()) == [1, 2, 3, 4, 5]

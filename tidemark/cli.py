@@ -9,11 +9,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.config import DIMENSIONS, HISTORY_TABLES, TOPIC, JdbcTarget, Paths
 from tidemark.operators import monitor
 from tidemark.operators.snapshots import TIME
 from tidemark.operators.bronze import to_bronze
-from tidemark.plans import dashboard, serving
+from tidemark.plans import dashboard, maintenance, serving
 from tidemark.session import build_session
 from tidemark.sources import jdbc_recent, kafka_stream
 from tidemark.streaming import ProgressLog, bronze_stream, gold_stream, ledger_stream, silver_stream
@@ -93,6 +94,14 @@ def run_backfill(spark, args):
     _report(serving.sync_all(spark, _served_tables(spark, args), JdbcTarget.from_env(), load=serving.backfill))
 
 
+def run_compact(spark, args):
+    paths = Paths(args.root)
+    tables = {paths.history(d): schemas.gold(d) for d in DIMENSIONS}
+    tables |= {paths.ledger: schemas.LEDGER, paths.alerts: schemas.FRAUD_ALERTS}
+    for path, schema in tables.items():
+        print(f"{path}: {maintenance.compact(spark, path, schema)} folds merged")
+
+
 def run_health(spark, args):
     checked = monitor.freshness(_table_report(spark, args), args.as_of, args.stale_after)
     checked.show(truncate=False)
@@ -159,6 +168,7 @@ def parser() -> argparse.ArgumentParser:
     job("ledger", run_ledger)
     job("sync", run_sync)
     job("backfill", run_backfill)
+    job("compact", run_compact)
     health = job("health", run_health)
     health.add_argument("--as-of")
     health.add_argument("--stale-after", type=float, default=10)

@@ -3,27 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark import schemas
+from tidemark import layout
 
 
-def compact(spark: SparkSession, path: str, target: str, schema: StructType) -> None:
-    """Copies a batch-by-batch table to a new path with its finished batches merged.
+def compact(spark: SparkSession, path: str, schema: StructType) -> int:
+    """Merges the folds of a table that get no more batches; gives their number.
 
-    A table that gains a directory every minute takes ever longer to list. Run this while the writing
-    stream is stopped and continue at the new path; nothing is deleted. The newest batch of each stream
-    keeps its directory, because a restarted stream may repeat and replace it.
+    Streams and readers may run meanwhile. The newest fold of each stream is left alone: a restarted stream may
+    repeat and replace its newest batch. A merge that was interrupted is not complete and is done again.
     """
-    levels = schemas.BATCH_LEVELS.fieldNames()
-    table = spark.read.schema(schemas.extend(schema, schemas.BATCH_LEVELS)).parquet(path)
-    newest = table.groupBy("stream").agg(F.max("batch").alias("newest"))
-    open_batch = F.col("batch") == F.col("newest")
-    # One row per checkpoint that ever wrote to the table, a few dozen bytes each.
-    merged = table.join(F.broadcast(newest), "stream").select(
-        *schema.fieldNames(),
-        F.when(open_batch, F.col("stream")).otherwise("merged").alias("stream"),
-        F.when(open_batch, F.col("batch")).otherwise(0).alias("batch"),
-    )
-    merged.write.partitionBy(*levels).parquet(target)
+    closed = [f for f in layout.folds(spark, path) if not f.newest and not f.merged]
+    for fold in closed:
+        batches = spark.read.schema(schema).parquet(layout.fold_path(path, fold.stream, fold.number))
+        rows = batches.select(schema.fieldNames()).hint("rebalance")
+        rows.write.mode("overwrite").parquet(layout.merged_path(path, fold.stream, fold.number))
+    return len(closed)

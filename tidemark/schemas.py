@@ -96,4 +96,4 @@ FRAUD_ALERTS = _schema(
 )
 
 # Directory levels of tables written batch by batch.
-BATCH_LEVELS = _schema(stream=StringType(), batch=LongType())
+BATCH_LEVELS = _schema(stream=StringType(), fold=LongType(), batch=LongType())

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tidemark.layout import batch_path
+
 
 def append_stream(
     df: DataFrame,
@@ -24,10 +26,6 @@ def append_stream(
     return writer.start()
 
 
-def batch_path(path: str, stream: str, batch: int) -> str:
-    return f"{path}/stream={stream}/batch={batch}"
-
-
 def write_batch(df: DataFrame, path: str, stream: str, batch: int) -> str:
     """Writes one micro-batch to a directory of its own, so that a replay replaces itself.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tidemark import schemas
+from tidemark import layout, schemas
 
 
 def parquet_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -21,13 +21,19 @@ def batch_table(
 ) -> DataFrame:
     """A table written batch by batch (``sinks.write_batch``), its directory levels removed.
 
-    ``besides`` leaves out one (stream, batch); this prunes a directory and reads nothing of it.
+    Batches of merged folds are read from the merged folders, and their own folders are not even listed.
+    ``besides`` leaves out one (stream, batch), of a fold still open; this prunes a directory and reads nothing of it.
     """
-    table = spark.read.schema(schemas.extend(schema, schemas.BATCH_LEVELS)).parquet(path)
+    found = layout.folds(spark, path)
+    open_folds = [layout.fold_path(path, f.stream, f.number) for f in found if not f.merged]
+    merged = [layout.merged_path(path, f.stream, f.number) for f in found if f.merged]
+    reader = spark.read.schema(schemas.extend(schema, schemas.BATCH_LEVELS)).option("basePath", path)
+    table = reader.parquet(*(open_folds or [path]))
     if besides is not None:
         stream, batch = besides
         table = table.where(~((table["stream"] == stream) & (table["batch"] == batch)))
-    return table.select(schema.fieldNames())
+    table = table.select(schema.fieldNames())
+    return table.unionAll(spark.read.schema(schema).parquet(*merged)) if merged else table
 
 
 def parquet_stream(
