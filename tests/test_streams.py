@@ -168,6 +168,43 @@ def test_ledger_stream_across_batches_and_restarts(spark, paths):
     )
 
 
+def test_a_trigger_reads_nothing_of_its_own_ledger(spark, paths, monkeypatch):
+    """The state knows the ids: a stream that is alone compares with no table."""
+    from tidemark.streaming import ledger as module
+
+    read = []
+    monkeypatch.setattr(module.ledger, "matching_keys", lambda *args, **options: read.append(args))
+    for i in range(3):
+        values = [payload("a", 1.0 + i), payload(f"n{i}", 5.0), payload(f"n{i}", 6.0)]
+        fixtures.write_bronze(messages(spark, *values, first=10 * i).coalesce(1), paths.bronze)
+        query = run_ledger(spark, paths)
+    assert not read and query.lastProgress["stateOperators"][0]["numRowsTotal"] == 4
+    assert written(spark, paths)[0] == [("a", Decimal("1.00")), *[(f"n{i}", Decimal("5.00")) for i in range(3)]]
+
+
+def test_a_stream_with_a_new_checkpoint_knows_what_others_wrote(spark, paths, tmp_path):
+    fixtures.write_bronze(messages(spark, payload("a", 1.0), payload("b", 4600.0)).coalesce(1), paths.bronze)
+    run_ledger(spark, paths)
+    (tmp_path / "checkpoints").rename(tmp_path / "checkpoints-before")
+    fixtures.write_bronze(messages(spark, payload("b", 2.0), payload("c", 3.0), first=10).coalesce(1), paths.bronze)
+    run_ledger(spark, paths)
+    assert written(spark, paths) == (
+        [("a", Decimal("1.00")), ("b", Decimal("4600.00")), ("c", Decimal("3.00"))], [("b", Decimal("95.00"))]
+    )
+
+
+def test_ledger_replay_replaces_its_batch(spark, paths, tmp_path):
+    for i, values in enumerate(([payload("a", 1.0)], [payload("a", 2.0), payload("b", 4600.0)])):
+        fixtures.write_bronze(messages(spark, *values, first=10 * i).coalesce(1), paths.bronze)
+        run_ledger(spark, paths)
+    before = written(spark, paths)
+    commits = tmp_path / "checkpoints" / "ledger_by_id" / "commits"
+    (commits / "1").unlink()
+    (commits / ".1.crc").unlink(missing_ok=True)
+    run_ledger(spark, paths)
+    assert written(spark, paths) == before and len(before[0]) == 2
+
+
 def batch_of(spark, *values, first=0):
     return ledger.parse(messages(spark, *values, first=first)).withColumn("created_at", F.current_timestamp())
 

@@ -15,6 +15,9 @@ from pyspark.sql import SparkSession
 # Batches in a fold. A reader lists at most about this many batch folders per stream, and one folder per merged fold.
 FOLD = 250
 
+# The stream of an empty table.
+NO_STREAM = "none"
+
 
 def batch_path(path: str, stream: str, batch: int) -> str:
     return f"{fold_path(path, stream, batch // FOLD)}/batch={batch}"

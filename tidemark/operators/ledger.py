@@ -62,6 +62,21 @@ def first_arrivals(
     return ranked.where(F.col("_arrival") == 1).drop("_arrival")
 
 
+def first_seen(messages: DataFrame, order: Sequence[str | Column] = ARRIVAL_ORDER) -> DataFrame:
+    """The first arrival of every id of a stream, as streaming state, with ``created_at`` of the micro-batch it came in.
+
+    ``messages`` has ``created_at``, one value per micro-batch. Of an id that a micro-batch brings, one row comes out:
+    the first arrival ever, and in ``updated_at`` the micro-batch's time. The id is new where both are the same.
+    Copies in one micro-batch are told apart by ``order``; partial aggregation leaves one row per id and task.
+    """
+    if order is ARRIVAL_ORDER:
+        order = [_known(name) for name in order]
+    fields = [name for name in messages.columns if name not in (KEY, *schemas.ARRIVAL.fieldNames())]
+    places = [(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)]
+    first = F.min_by(F.struct(*fields), F.struct("created_at", *places)).alias("first")
+    return messages.groupBy(KEY).agg(first, F.max("created_at").alias("updated_at")).select(KEY, "first.*", "updated_at")
+
+
 def _known(name: str) -> Column:
     refused = F.raise_error(F.lit(f"a message has no {name}; give an order of your own"))
     return F.coalesce(F.col(name), refused)

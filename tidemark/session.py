@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# State store for queries whose state can outgrow the heap.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)

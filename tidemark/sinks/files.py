@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemark.layout import batch_path
+from tidemark.layout import NO_STREAM, batch_path
 
 
 def append_stream(
@@ -40,4 +40,4 @@ def write_batch(df: DataFrame, path: str, stream: str, batch: int) -> str:
 def create_table(spark: SparkSession, path: str, schema: StructType) -> None:
     """Makes a batch-by-batch table readable before its first batch; leaves an existing one alone."""
     empty = spark.createDataFrame([], schema)
-    empty.write.mode("ignore").parquet(batch_path(path, "none", -1))
+    empty.write.mode("ignore").parquet(batch_path(path, NO_STREAM, -1))

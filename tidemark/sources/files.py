@@ -17,17 +17,28 @@ def parquet_table(spark: SparkSession, path: str, schema: StructType) -> DataFra
 
 
 def batch_table(
-    spark: SparkSession, path: str, schema: StructType, besides: tuple[str, int] | None = None
-) -> DataFrame:
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    besides: tuple[str, int] | None = None,
+    besides_stream: str | None = None,
+) -> DataFrame | None:
     """A table written batch by batch (``sinks.write_batch``), its directory levels removed.
 
     Batches of merged folds are read from the merged folders, and their own folders are not even listed.
     ``besides`` leaves out one (stream, batch), of a fold still open; this prunes a directory and reads nothing of it.
+    ``besides_stream`` leaves out all of a stream; None is the result if no other one has written.
     """
     found = layout.folds(spark, path)
+    if besides_stream is not None:
+        found = [f for f in found if f.stream not in (besides_stream, layout.NO_STREAM)]
+        if not found:
+            return None
     open_folds = [layout.fold_path(path, f.stream, f.number) for f in found if not f.merged]
     merged = [layout.merged_path(path, f.stream, f.number) for f in found if f.merged]
     reader = spark.read.schema(schemas.extend(schema, schemas.BATCH_LEVELS)).option("basePath", path)
+    if not open_folds and merged:
+        return spark.read.schema(schema).parquet(*merged)
     table = reader.parquet(*(open_folds or [path]))
     if besides is not None:
         stream, batch = besides

@@ -15,14 +15,11 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark import schemas
 from tidemark.config import TOP_N, Paths
 from tidemark.operators import gold
-from tidemark.session import settings
+from tidemark.session import ROCKSDB, settings
 from tidemark.sinks import create_table, write_batch
 from tidemark.sources import parquet_stream
 from tidemark.streaming.identity import query_id
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 def gold_stream(
     spark: SparkSession,
     paths: Paths,

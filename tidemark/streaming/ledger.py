@@ -1,7 +1,8 @@
 """Messages to the ledger of transactions and its fraud alerts.
 
-De-duplication is exact and reaches back to the first row ever written, so it looks into the ledger
-itself and keeps no streaming state.
+De-duplication is exact and reaches back to the first row ever written. The stream keeps the first arrival of every id
+as state on the executors' disks, so a trigger costs what its own messages cost, however large the ledger is. What
+other streams have written, such as one with an earlier checkpoint, is compared by scanning those streams' ids.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from tidemark import schemas
 from tidemark.config import FraudRules, Paths
 from tidemark.operators import ledger
 from tidemark.operators.ledger import ARRIVAL_ORDER
+from tidemark.session import ROCKSDB, settings
 from tidemark.sinks import create_table, write_batch
 from tidemark.sources import batch_table, parquet_table
 from tidemark.streaming.identity import query_id
@@ -38,23 +40,47 @@ def write_ledger_batch(
     rules: FraudRules = FraudRules(),
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> None:
-    """Adds one micro-batch of parsed messages. A replay after a failure at any point adds nothing twice.
+    """Adds a batch of parsed messages without streaming state: it is compared with the whole ledger.
+
+    A replay after a failure at any point adds nothing twice.
 
     The first arrivals are written out before they are compared with the ledger: the work on the batch
     is done once, is safe from lost executors, and its size is known when Spark plans the comparison.
     Alerts are read from the ledger rows just written, so a crash in between loses none.
     """
-    spark = batch.sparkSession
-    staging = f"{paths.ledger_staging}/stream={stream}"
-    arrivals = ledger.score(ledger.first_arrivals(batch, order), rules)
-    ledger.entries(arrivals, F.col("created_at")).write.mode("overwrite").parquet(staging)
-
-    staged = parquet_table(spark, staging, schemas.LEDGER)
-    existing = batch_table(spark, paths.ledger, schemas.LEDGER, besides=(stream, batch_id))
-    # Ids found in the ledger are some of the staged ones, so one check bounds both.
-    small = ledger.key_bytes(staged).first()["bytes"] <= broadcast_bytes
-    found = ledger.matching_keys(existing, staged, broadcast=small)
-    added = ledger.not_in(staged, found, broadcast=small)
+    arrivals = ledger.entries(ledger.score(ledger.first_arrivals(batch, order), rules), F.col("created_at"))
+    existing = batch_table(batch.sparkSession, paths.ledger, schemas.LEDGER, besides=(stream, batch_id))
+    _add(arrivals, existing, batch_id, stream, paths, broadcast_bytes)
+
+
+def write_first_seen(
+    batch: DataFrame,
+    batch_id: int,
+    stream: str,
+    paths: Paths,
+    rules: FraudRules = FraudRules(),
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> None:
+    """Adds the new ids of one micro-batch of ``operators.ledger.first_seen``. A replay repeats and replaces it."""
+    new = batch.where(F.col("created_at") == F.col("updated_at"))
+    arrivals = ledger.entries(ledger.score(new, rules), F.col("created_at"))
+    existing = batch_table(batch.sparkSession, paths.ledger, schemas.LEDGER, besides_stream=stream)
+    _add(arrivals, existing, batch_id, stream, paths, broadcast_bytes)
+
+
+def _add(
+    arrivals: DataFrame, existing: DataFrame | None, batch_id: int, stream: str, paths: Paths, broadcast_bytes: int
+) -> None:
+    spark = arrivals.sparkSession
+    added = arrivals
+    if existing is not None:
+        staging = f"{paths.ledger_staging}/stream={stream}"
+        arrivals.write.mode("overwrite").parquet(staging)
+        staged = parquet_table(spark, staging, schemas.LEDGER)
+        # Ids found in the ledger are some of the staged ones, so one check bounds both.
+        small = ledger.key_bytes(staged).first()["bytes"] <= broadcast_bytes
+        found = ledger.matching_keys(existing, staged, broadcast=small)
+        added = ledger.not_in(staged, found, broadcast=small)
     written = write_batch(added.select(schemas.LEDGER.fieldNames()), paths.ledger, stream, batch_id)
 
     rows = parquet_table(spark, written, schemas.LEDGER)
@@ -73,19 +99,23 @@ def ledger_stream(
 
     One ledger has one writer: two streams that add to it at once could both miss the other's rows.
     """
-    create_ledger(bronze.sparkSession, paths)
+    spark = bronze.sparkSession
+    create_ledger(spark, paths)
     # The micro-batch's own time, which a replay repeats.
     messages = ledger.parse(bronze).withColumn("created_at", F.current_timestamp())
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_ledger_batch(batch, batch_id, query_id(batch), paths, order, rules, broadcast_bytes)
+        write_first_seen(batch, batch_id, query_id(batch), paths, rules, broadcast_bytes)
 
     writer = (
-        messages.writeStream.outputMode("append")
+        ledger.first_seen(messages, order)
+        .writeStream.outputMode("update")
         .foreachBatch(write)
-        .option("checkpointLocation", paths.checkpoint("ledger"))
+        .option("checkpointLocation", paths.checkpoint("ledger_by_id"))
         .queryName("ledger")
     )
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.start()
+    # The number of state partitions is the session's at the first start, for good: size it for all ids to come.
+    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+        return writer.start()
