@@ -101,25 +101,37 @@ def _counted(rows: DataFrame, keys_of) -> DataFrame:
                 columns = [pa.array(keys[lo : lo + 100_000], pa.int64()), pa.array(n[lo : lo + 100_000], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "n"])
 
-    return rows.select("text").mapInArrow(run, "key long, n long")
+    counted = rows.select("text").mapInArrow(run, "key long, n long")
+    return counted.groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _both(docs: DataFrame, target: DataFrame, keys_of, share: float) -> tuple[Counts, np.ndarray]:
-    """Counts of the keys with at least this share of all of the background, and all counts of either model."""
-    both = _counted(docs, keys_of).select("key", F.col("n").alias("b"), F.lit(0).cast("long").alias("t")).unionAll(
-        _counted(target, keys_of).select("key", F.lit(0).cast("long").alias("b"), F.col("n").alias("t"))
-    )
-    table = written(both.groupBy("key").agg(F.sum("b").alias("b"), F.sum("t").alias("t")), "counts")
-    totals = [t or 0 for t in table.agg(F.sum("b"), F.sum("t")).first()]
+def _both(docs: DataFrame, target: DataFrame, keys_of, share: float, kind: type = np.int64) -> tuple[Counts, np.ndarray]:
+    """Counts of the keys with at least this share of all of the background, and all counts of either model.
+
+    The background decides on the keys. Of the target only these are counted one by one, and the others as one.
+    """
+    table = written(_counted(docs, keys_of), "counts")
+    total = table.agg(F.sum("n")).first()[0] or 0
     # At most 1 / share rows.
-    found = table.where((F.col("b") >= share * totals[0]) & (F.col("b") > 1)).orderBy("key").toPandas()
-    return Counts(found["key"].to_numpy(np.int64), found[["b", "t"]].to_numpy(np.int64).T.copy()), np.array(totals)
+    kept = table.where((F.col("n") >= share * total) & (F.col("n") > 1)).toPandas()
+    keys = kept["key"].to_numpy(np.int64).view(kind)
+    order = np.argsort(keys)
+    known = Counts(keys[order], kept["n"].to_numpy(np.int64)[order][None])
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+
+    def places(found: Words) -> np.ndarray:
+        return shared.value.place(keys_of(found).view(kind))
+
+    in_target = np.zeros(len(keys) + 1, np.int64)
+    for row in _counted(target, places).toPandas().itertuples():
+        in_target[row.key] = row.n
+    counts = np.stack([known.counts[0], in_target[:-1]])
+    return Counts(known.keys, counts), np.array([total, in_target.sum()])
 
 
 def fit(docs: DataFrame, target: DataFrame) -> Model:
     """Both models; ``target`` is a part of ``docs``."""
-    words, totals = _both(docs, target, lambda found: found.hashes(0).view(np.int64), WORD_SHARE)
-    words = Counts(np.sort(words.keys.view(np.uint64)), words.counts[:, np.argsort(words.keys.view(np.uint64))])
+    words, totals = _both(docs, target, lambda found: found.hashes(0).view(np.int64), WORD_SHARE, np.uint64)
     n = len(words.keys) + 1
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
@@ -172,6 +184,7 @@ def score_with(docs: DataFrame, model: Model) -> DataFrame:
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Scores of all documents; the target is the documents whose label says good quality."""
-    good = labels.where("quality = 1").select("doc_id")
+    # Labels grow with the corpus and are never broadcast, so the plan is one at every size.
+    good = labels.where("quality = 1").select("doc_id").hint("merge")
     target = written(docs.select("doc_id", "text").join(good, "doc_id", "left_semi").select("text"), "target")
     return score_with(docs, fit(docs, target))
