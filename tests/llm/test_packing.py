@@ -14,7 +14,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
 def ids(text):
-    return packing.encoder(PATH).tokenizer.encode(text or "", add_special_tokens=False).ids + [packing.END]
+    return packing._tokenizer(PATH).encode(text or "", add_special_tokens=False).ids + [packing.END]
 
 
 def check(pieces, rows, sequence):
@@ -49,13 +49,13 @@ def check(pieces, rows, sequence):
 @settings(max_examples=150, deadline=None)
 @given(st.text(st.characters(codec="utf-8"), max_size=60))
 def test_words_encode_as_the_tokenizer_does(text):
-    assert np.frombuffer(packing.encoder(PATH).encode(text), "<u4").tolist() == ids(text)[:-1]
+    assert np.frombuffer(packing.WordEncoder(PATH).encode(text), "<u4").tolist() == ids(text)[:-1]
 
 
 def test_special_strings_and_a_full_cache(monkeypatch):
     monkeypatch.setattr(packing, "CACHED_WORDS", 3)
     for text in ("<|endoftext|> It's they'LL 12ab", "ÀÉ×÷ÿ _x_ don't", "a\x1cb c\x85d", "İstanbul ΑΣ", "one two three four five six"):
-        assert np.frombuffer(packing.encoder(PATH).encode(text), "<u4").tolist() == ids(text)[:-1]
+        assert np.frombuffer(packing.WordEncoder(PATH).encode(text), "<u4").tolist() == ids(text)[:-1]
 
 
 @settings(max_examples=100, deadline=None)

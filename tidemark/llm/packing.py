@@ -18,6 +18,7 @@ import zlib
 from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from tidemark.llm.spread import numbered, written
 
 SEQUENCE = 4096
 END = 2
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 
 # ---------------------------------------------------------------- tokens
 
@@ -46,9 +47,7 @@ class WordEncoder(dict):
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = _tokenizer(path)
         self.model = self.tokenizer.model
         self.parts: dict[str, bytes] = {}
         self.letters = dict(zip(range(256), _byte_letters()))
@@ -94,14 +93,12 @@ def _byte_letters() -> Iterator[str]:
             hidden += 1
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
+@cache
+def _tokenizer(path: str):
+    """One tokenizer per worker and file. The words are remembered by task, so that workers give the memory back."""
+    from tokenizers import Tokenizer
 
-def encoder(path: str) -> WordEncoder:
-    """One encoder per worker and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return Tokenizer.from_file(path)
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -112,7 +109,7 @@ def pieces(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end: int
     tail = np.array([end], "<u4").tobytes()
 
     def cut(batches):
-        encode = encoder(vocabulary).encode
+        encode = WordEncoder(vocabulary).encode
         for batch in batches:
             rows = defaultdict(list)
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
