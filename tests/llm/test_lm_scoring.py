@@ -2,7 +2,7 @@ import math
 import re
 from collections import Counter
 
-from corpus_helpers import table
+from corpus_helpers import table, words
 
 from tidemark.llm import lm_scoring, queries
 
@@ -73,3 +73,22 @@ def test_odd_rows(spark, odd_docs, odd_rows, no_docs, no_labels):
             assert (r["target_loss"] is None) == (r["n_words"] == 0)
             assert math.isfinite(r["score"])
     assert lm_scoring.score(no_docs, labels).count() == 0
+
+
+def test_least_count_is_the_same_at_every_size(spark):
+    """Words and bigrams seen twice are known in a corpus of which they are less than 2e-6 as well."""
+    texts = [words(seed, 100_000, 50) for seed in range(11)] + ["rare one here", "rare one there", None, "w1 rare w2 once"]
+    target = [k % 3 == 0 for k in range(len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(good)) for k, good in enumerate(target)], "doc_id long, quality int")
+    expected = brute(texts, target, share=0)
+    # Of one chunk per task, and of many.
+    for found in (lm_scoring.score(docs, labels), lm_scoring.score(docs, labels, chunk_bytes=50_000, bucket_bytes=50_000)):
+        found = {r["doc_id"]: r for r in found.collect()}
+        assert len(found) == len(texts)
+        for k, (loss_target, loss_background) in enumerate(expected):
+            if loss_target is None:
+                assert found[k]["target_loss"] is None and found[k]["score"] == 0
+            else:
+                assert math.isclose(found[k]["target_loss"], loss_target, rel_tol=1e-9)
+                assert math.isclose(found[k]["background_loss"], loss_background, rel_tol=1e-9)
