@@ -65,3 +65,9 @@ def test_many_tiles_and_a_hot_group(spark, monkeypatch):
 def test_query(spark, sf_dir):
     rows = [(r["vec_id"], r["embedding"]) for r in table(spark, sf_dir, "embeddings").collect()]
     assert as_dict(queries.queries()["op3_pca_tiled_dedup"](spark, sf_dir)) == brute(rows)
+
+
+def test_repeated_ids_with_other_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [0.0, 1.0]), (2, None), (3, [0.0, 1.0]), (4, [1.0, 0.0])]
+    found = embedding_dedup.classes(vectors(spark, rows)).select("vec_id", "n_links", "component_id").collect()
+    assert sorted(map(tuple, found)) == [(1, 2, 1), (2, 0, 2), (2, 1, 2), (2, 2, 1), (3, 1, 2), (4, 2, 1)]

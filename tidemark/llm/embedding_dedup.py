@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -166,8 +166,8 @@ def _compare(threshold: float):
     return of_unit
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id, vector: little-endian doubles of the rows that can link."""
+def _can_link() -> Column:
+    """Whether a row can link: never null."""
     v = F.transform("embedding", lambda c: c.cast("double"))
     good = (
         F.col("embedding").isNotNull()
@@ -175,7 +175,12 @@ def usable(vectors: DataFrame) -> DataFrame:
         & F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
         & F.exists(v, lambda c: c != 0)
     )
-    rows = vectors.select("vec_id", "embedding").where(good & F.col("vec_id").isNotNull())
+    return F.coalesce(good, F.lit(False)) & F.col("vec_id").isNotNull()
+
+
+def usable(vectors: DataFrame) -> DataFrame:
+    """vec_id, vector: little-endian doubles of the rows that can link."""
+    rows = vectors.select("vec_id", "embedding").where(_can_link())
 
     def run(batches):
         for batch in batches:
@@ -284,16 +289,12 @@ def classes(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         ),
         "classes",
     )
-    by_id = rows.join(by_vector, "vector").select(
-        F.col("vec_id").alias("id"), "component_id", F.col("n_links").cast("long").alias("links")
+    # A row has the figures of its own vector, also where its id is repeated with another one.
+    linked = rows.join(by_vector, "vector").select("vec_id", F.col("n_links").cast("long"), "component_id")
+    alone = vectors.where(~_can_link()).select(
+        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
     return (
-        vectors.select("vec_id")
-        .join(by_id.dropDuplicates(["id"]), F.col("vec_id") == F.col("id"), "left")
-        .select(
-            "vec_id",
-            F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component_id", "vec_id").alias("component_id"),
-        )
+        linked.unionAll(alone)
         .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
     )
