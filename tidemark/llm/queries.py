@@ -12,6 +12,7 @@ from tidemark.llm import (
     decontamination,
     embedding_dedup,
     lm_scoring,
+    mixing,
     ngram_join,
     packing,
     quality,
@@ -70,6 +71,11 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
 _QUERIES = (
     op1_recompression_dedup,
     op2_crf_toxicity,
@@ -81,6 +87,7 @@ _QUERIES = (
     op8_minhash_join,
     op9_zstd_quality,
     op10_url_rules,
+    op11_prefix_mix,
 )
 
 
@@ -96,6 +103,47 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: _ready(query) for query in _QUERIES} | {"pipeline": _ready(corpus_pipeline.run)}
 
 
+_OP11_SQL = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+), sources AS (
+  SELECT source, sum(size)::HUGEINT AS source_size,
+         CASE (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END::HUGEINT AS weight
+  FROM sized GROUP BY source
+), fill(round, rest, open_weight) AS (
+  SELECT 0, sum(3 * source_size)::HUGEINT, sum(weight)::HUGEINT FROM sources
+  UNION ALL
+  SELECT round + 1, new_rest, new_weight
+  FROM (
+    SELECT f.round, f.open_weight,
+           (SELECT sum(3 * source_size - CASE WHEN weight * f.rest > 4 * source_size * f.open_weight
+                                              THEN 4 * source_size ELSE 0 END)::HUGEINT FROM sources) AS new_rest,
+           (SELECT sum(CASE WHEN weight * f.rest > 4 * source_size * f.open_weight THEN 0 ELSE weight END)::HUGEINT
+            FROM sources) AS new_weight
+    FROM fill f
+  ) next_round
+  WHERE new_weight <> open_weight
+), last_round AS (
+  SELECT rest, open_weight FROM fill ORDER BY round DESC LIMIT 1
+), plan AS (
+  SELECT source, source_size,
+         CASE WHEN above THEN CAST(2 * source_size AS DOUBLE)
+              ELSE CAST(weight * rest AS DOUBLE) / CAST(2 * open_weight AS DOUBLE) END AS target,
+         CASE WHEN above THEN 2 * source_size ELSE (2 * weight * rest + 2 * open_weight) // (4 * open_weight) END AS budget
+  FROM (SELECT *, weight * rest > 4 * source_size * open_weight AS above FROM sources, last_round) judged
+), placed AS (
+  SELECT doc_id, size, p.source_size, p.target, p.budget,
+         coalesce(sum(size) OVER (PARTITION BY s.source
+           ORDER BY md5(':' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(size AS VARCHAR)), doc_id IS NULL
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
+       CAST(greatest(0, least(size, budget - before)) + greatest(0, least(size, budget - source_size - before)) AS BIGINT) AS taken
+FROM placed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """None: hashes, fits and tokenizers are not SQL. The tests hold the queries against brute force."""
-    return {}
+    """For the queries that are SQL; fits and tokenizers are not, and the tests hold those queries against brute force."""
+    return {"op11_prefix_mix": _OP11_SQL}
