@@ -20,6 +20,7 @@ from tidemark.llm import (
     substring_dedup,
     toxicity,
     url_rules,
+    whitening,
 )
 from tidemark.llm.spread import importable
 
@@ -76,6 +77,10 @@ def op11_prefix_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 _QUERIES = (
     op1_recompression_dedup,
     op2_crf_toxicity,
@@ -88,6 +93,7 @@ _QUERIES = (
     op9_zstd_quality,
     op10_url_rules,
     op11_prefix_mix,
+    op13_block_whitening,
 )
 
 
