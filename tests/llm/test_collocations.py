@@ -1,0 +1,147 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from corpus_helpers import table
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm import automata, collocations, queries
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, least=10, first=2000, held=50):
+    """(lang, text) to sorted (lang, rank, phrase, a, l, r, n, score)."""
+    counts, total = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            total[lang] += len(words)
+            for k in (1, 2, 3):
+                for i in range(len(words) - k + 1):
+                    counts[lang, tuple(words[i : i + k])] += 1
+    found = {}
+    for (lang, phrase), a in counts.items():
+        if len(phrase) == 1 or a < least:
+            continue
+        longer = [counts[lang, p] for l2, p in counts if l2 == lang and len(p) == 3 and phrase in (p[:2], p[1:])] if len(phrase) == 2 else []
+        if any(n >= least and 100 * n >= held * a for n in longer):
+            continue
+        cuts = []
+        for k in range(1, len(phrase)):
+            l, r = counts[lang, phrase[:k]], counts[lang, phrase[k:]]
+            cuts.append((1_000_000 * a * a // (l * r), k, l, r))
+        score, _, l, r = min(cuts)
+        found.setdefault(lang, []).append((score, a, " ".join(phrase), l, r))
+    result = []
+    for lang, own in found.items():
+        own.sort(key=lambda p: (-p[0], -p[1], p[2].encode()))
+        result += [(lang, i + 1, p, a, l, r, total[lang], s) for i, (s, a, p, l, r) in enumerate(own[:first])]
+    return sorted(result)
+
+
+def mined(df, **options):
+    found = collocations.collocations(df, **options)
+    assert found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    return sorted(tuple(r) for r in found.collect())
+
+
+def prose(seed, n, vocabulary):
+    rng = random.Random(seed)
+    parts = [rng.choice(vocabulary) + rng.choice([" ", " ", " ", "\t", ", ", ".", "\n"]) for _ in range(n)]
+    return "".join(parts)
+
+
+VOCABULARY = ["The", "the", "a", "b", "Ä", "ä", "naïve", "x\x0by", "日本", "\x01", "don't", "-", "of", "of"]
+SCHEMA = "lang string, text string"
+
+
+def sample():
+    rows = [(("en", "en", "en", None, "und", "")[i % 6], prose(i, 40 + i, VOCABULARY)) for i in range(60)]
+    return rows + [("en", None), ("en", ""), ("fr", "one"), ("fr", " . ")] + [("en", "The same words again")] * 30
+
+
+@pytest.mark.parametrize("shard, reach, fan", [(1 << 20, 1 << 20, 256), (64, 50, 256), (64, 50, 4), (300, 10, 3)])
+def test_equals_brute_force_at_any_size_of_shards_and_ranges(spark, monkeypatch, shard, reach, fan):
+    for name, value in (("SHARD_WORDS", shard), ("RANGE_WORDS", reach), ("FAN", fan)):
+        monkeypatch.setattr(collocations, name, value)
+    rows = sample()
+    assert mined(spark.createDataFrame(rows, SCHEMA).repartition(3)) == brute(rows)
+
+
+def test_a_cut_at_the_limit_and_other_parameters(spark):
+    rows = sample()
+    found = mined(spark.createDataFrame(rows, SCHEMA), least=4, first=7, held=80)
+    assert found == brute(rows, 4, 7, 80)
+
+
+def test_odd_rows_and_empty_table(spark, odd_docs, odd_rows, no_docs):
+    from pyspark.sql import functions as F
+
+    lang = F.lit("en")
+    extra = odd_docs.withColumns({"lang": lang, "a": lang, "rank": lang, "words": lang, "phrase": lang})
+    assert mined(extra) == brute([("en", t) for _, t in odd_rows])
+    assert mined(no_docs.withColumn("lang", lang)) == []
+
+
+def test_a_third_of_all_words_the_same(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "RANGE_WORDS", 100)
+    monkeypatch.setattr(collocations, "SHARD_WORDS", 128)
+    rows = [("en", " ".join(f"same w{i}x{j} w{j}" for j in range(30))) for i in range(20)] + [("en", "same " * 300)]
+    assert mined(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
+
+
+def test_products_beyond_64_bits(spark):
+    from pyspark.sql import functions as F
+
+    a, l, r = 9 * 10**14, 95 * 10**13, 99 * 10**13
+    frame = spark.range(1).select(*[F.lit(v).alias(n) for n, v in zip("alr", (a, l, r))])
+    assert frame.select(collocations._score("a", "l", "r")).first()[0] == 10**6 * a * a // (l * r)
+
+
+PATH = st.tuples(st.integers(1, 4), st.integers(1, 3), st.integers(0, 3))
+
+
+def paths(counter, ranges=1):
+    rows = sorted(counter.items())
+    a, b, c = (np.array([p[k] for p, _ in rows], np.int64) for k in range(3))
+    weight = np.array([w for _, w in rows], np.int64)
+    return automata.Paths(a, b, c, weight, a * 10, np.full(len(a), ranges))
+
+
+def counter(found):
+    return Counter({(int(a), int(b), int(c)): int(w) for a, b, c, w in zip(found.a, found.b, found.c, found.weight)})
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(PATH, max_size=30), max_size=4), st.integers(1, 3))
+def test_automata_add_up_and_survive_bytes(lists, ranges):
+    made = [automata.load(automata.dump(paths(Counter(own), ranges))) for own in lists]
+    assert [counter(m) for m in made] == [Counter(own) for own in lists]
+    united = automata.union(made)
+    expected = sum((Counter(own) for own in lists), Counter())
+    assert counter(united) == expected
+    heads, weight = united.beginnings()
+    pairs = Counter()
+    for (a, b, _), n in expected.items():
+        pairs[a, b] += n
+    assert dict(zip(zip(united.a[heads].tolist(), united.b[heads].tolist()), weight.tolist())) == dict(pairs)
+    parts = list(united.split(1))
+    assert sum((counter(p) for _, p in parts), Counter()) == expected
+    for prefix, part in parts:
+        assert all(10 * a <= prefix < 10 * a + ranges for a in part.a)
+
+
+def test_labels_too_wide_for_one_number():
+    wide = Counter({(1, 2**31, 2**31 - 1): 2, (2**30, 5, 0): 1})
+    assert counter(automata.union([paths(wide), paths(wide)])) == wide + wide
+
+
+def test_query(spark, sf_dir):
+    rows = [tuple(r) for r in table(spark, sf_dir, "documents").select("lang", "text").collect()]
+    found = queries.queries()["op12_automaton_collocations"](spark, sf_dir)
+    assert found.count() > 0 and {r["lang"] for r in found.collect()} <= {l for l, _ in rows}

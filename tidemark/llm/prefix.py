@@ -16,7 +16,14 @@ ROWS_PER_RANGE = 50_000
 def running(
     table: DataFrame, groups: Sequence[str], order: Sequence[str], value: Column, name: str, rows: int = ROWS_PER_RANGE
 ) -> DataFrame:
-    """Adds ``name``: the sum of ``value`` over the rows of the same group that stand before this one in ``order``.
+    """Adds ``name``: the sum of ``value`` over the rows of the same group that stand before this one in ``order``."""
+    return prefixes(table, groups, order, {name: value}, rows)
+
+
+def prefixes(
+    table: DataFrame, groups: Sequence[str], order: Sequence[str], values: dict[str, Column], rows: int = ROWS_PER_RANGE
+) -> DataFrame:
+    """Adds prefix sums of several values, each without the row's own.
 
     ``table`` is read twice and should be a written one; groups and order have no nulls, and the order does not tie. Rows are
     range-partitioned by group and order and written with the number of their range. A range's sum is one row, and sums of the
@@ -26,9 +33,11 @@ def running(
     dealt = table.repartitionByRange(ranges, *groups, *order).withColumn("_range", F.spark_partition_id())
     dealt = written(dealt, "ranges")
     keys = [*groups, "_range"]
-    sums = dealt.groupBy(*keys).agg(F.sum(value).alias("_sum"))
+    sums = dealt.groupBy(*keys).agg(*[F.sum(v).alias(f"_sum_{n}") for n, v in values.items()])
     earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(*keys, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    none = F.lit(0)
+    starts = sums.select(*keys, *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), none).alias(f"_start_{n}") for n in values])
     before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    within = dealt.withColumn("_within", F.coalesce(F.sum(value).over(before), F.lit(0)))
-    return within.join(starts, keys).select(*table.columns, (F.col("_start") + F.col("_within")).cast("long").alias(name))
+    within = dealt.withColumns({f"_within_{n}": F.coalesce(F.sum(v).over(before), none) for n, v in values.items()})
+    added = [(F.col(f"_start_{n}") + F.col(f"_within_{n}")).cast("long").alias(n) for n in values]
+    return within.join(starts, keys).select(*table.columns, *added)

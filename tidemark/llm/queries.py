@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import (
+    collocations,
     decontamination,
     embedding_dedup,
     lm_scoring,
@@ -77,6 +78,10 @@ def op11_prefix_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_automaton_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -93,6 +98,7 @@ _QUERIES = (
     op9_zstd_quality,
     op10_url_rules,
     op11_prefix_mix,
+    op12_automaton_collocations,
     op13_block_whitening,
 )
 
@@ -149,7 +155,55 @@ SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
 FROM placed
 """
 
+_OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), listed AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, 1 AS k, unnest(w) AS phrase FROM listed
+  UNION ALL
+  SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM listed
+  UNION ALL
+  SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM listed
+), counted AS (
+  SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY lang, k, phrase
+), split AS (
+  SELECT lang, k, phrase, f, split_part(phrase, ' ', 1) AS w1, split_part(phrase, ' ', 2) AS w2, split_part(phrase, ' ', 3) AS w3
+  FROM counted WHERE k > 1 AND f >= 10
+), cuts AS (
+  SELECT lang, k, phrase, f, 1 AS cut, w1 AS head, CASE k WHEN 2 THEN w2 ELSE w2 || ' ' || w3 END AS tail FROM split
+  UNION ALL
+  SELECT lang, k, phrase, f, 2, w1 || ' ' || w2, w3 FROM split WHERE k = 3
+), scored AS (
+  SELECT c.lang, c.k, c.phrase, c.f, x.f AS l, y.f AS r, (1000000 * c.f * c.f) // (x.f * y.f) AS score,
+         row_number() OVER (PARTITION BY c.lang, c.k, c.phrase ORDER BY (1000000 * c.f * c.f) // (x.f * y.f), c.cut) AS place
+  FROM cuts c JOIN counted x ON x.lang = c.lang AND x.phrase = c.head AND x.k = c.cut
+              JOIN counted y ON y.lang = c.lang AND y.phrase = c.tail AND y.k = c.k - c.cut
+), longer AS (
+  SELECT lang, part, max(f) AS f
+  FROM (SELECT lang, w1 || ' ' || w2 AS part, f FROM split WHERE k = 3
+        UNION ALL SELECT lang, w2 || ' ' || w3, f FROM split WHERE k = 3) parts
+  GROUP BY lang, part
+), kept AS (
+  SELECT s.* FROM scored s LEFT JOIN longer g ON s.k = 2 AND g.lang = s.lang AND g.part = s.phrase
+  WHERE s.place = 1 AND (g.f IS NULL OR 100 * g.f < 50 * s.f)
+), totals AS (
+  SELECT lang, sum(f) AS n FROM counted WHERE k = 1 GROUP BY lang
+), ranked AS (
+  SELECT k.*, t.n, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, f DESC, phrase) AS rank
+  FROM kept k JOIN totals t ON t.lang = k.lang
+)
+SELECT lang, rank, phrase, CAST(f AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """For the queries that are SQL; fits and tokenizers are not, and the tests hold those queries against brute force."""
-    return {"op11_prefix_mix": _OP11_SQL}
+    return {"op11_prefix_mix": _OP11_SQL, "op12_automaton_collocations": _OP12_SQL}
