@@ -13,13 +13,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import fixtures, schemas, streaming
+from tidemark import fixtures, journal, schemas, streaming
 from tidemark.config import Paths
 from tidemark.functions import formatting, parsing
 from tidemark.operators import bronze, gold, kpi, ledger, monitor, silver, snapshots
 from tidemark.plans import serving
 from tidemark.session import scratch_path
-from tidemark.sources import batch_table, parquet_stream, parquet_table
+from tidemark.sources import batch_table, parquet_stream
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
@@ -30,9 +30,9 @@ MARK = "1998-01-01 00:00:00"
 ALL_NOW = {"availableNow": True}
 # Small, so that a load has several parts.
 ROWS_PER_LOAD = 5
-# Transactions before this time reach silver first; files of each part are read one per trigger.
+# Transactions before this time reach silver first; batches of each part are read one per trigger.
 SPLIT = "1997-01-01 00:00:00"
-FILES = 2
+BATCHES = 2
 STAMPS = ("2001-01-01 00:00:00", "2001-01-02 00:00:00", "2001-01-03 00:00:00", SNAPSHOT)
 
 
@@ -166,16 +166,16 @@ def _bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).write.parquet(f"{paths.root}/messages")
     arriving = parquet_stream(spark, f"{paths.root}/messages", schemas.MESSAGES)
     _finish(streaming.bronze_stream(arriving, paths, ALL_NOW))
-    table = parquet_table(spark, paths.bronze, schemas.BRONZE)
+    table = batch_table(spark, paths.bronze, schemas.BRONZE)
     fields = table.select("partition", parsing.json_fields("json_data", schemas.PAYLOAD))
     return fields.select("transaction_id", "amount", "city", "partition")
 
 
 def _silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = Paths(scratch_path(spark, "silver-stream"))
-    fixtures.write_bronze(_bronze(spark, sf_dir), paths.bronze)
-    _finish(streaming.silver_stream(spark, paths, ALL_NOW, max_files=2))
-    return parquet_table(spark, paths.silver, schemas.SILVER)
+    fixtures.write_bronze(_bronze(spark, sf_dir), paths.bronze, BATCHES)
+    _finish(streaming.silver_stream(spark, paths, ALL_NOW, max_batches=1))
+    return batch_table(spark, paths.silver, schemas.SILVER)
 
 
 def _gold_stream(dimension: str, at: str = SNAPSHOT):
@@ -186,9 +186,9 @@ def _gold_stream(dimension: str, at: str = SNAPSHOT):
         rows, stamps = _silver(spark, sf_dir), iter(STAMPS)
         early = F.col("transaction_timestamp") < F.lit(SPLIT).cast("timestamp")
         for part in (early, ~early):
-            rows.where(part).repartition(FILES).write.mode("append").parquet(paths.silver)
+            fixtures.deliver(rows.where(part), paths.silver, BATCHES)
             stream = streaming.gold_stream(
-                spark, paths, dimension, trigger=ALL_NOW, clock=lambda: next(stamps), max_files=1
+                spark, paths, dimension, trigger=ALL_NOW, clock=lambda: next(stamps), max_batches=1
             )
             _finish(stream)
         history = batch_table(spark, paths.history(dimension), schemas.gold(dimension))
@@ -206,7 +206,7 @@ def _ledger_run(spark: SparkSession, sf_dir: str) -> Paths:
     for delivery in (sent, fixtures.repeated(sent)):
         messages = fixtures.json_messages(delivery, *schemas.ARRIVAL.fieldNames())
         fixtures.write_bronze(messages, paths.bronze)
-        arriving = parquet_stream(spark, paths.bronze, schemas.BRONZE)
+        arriving = journal.rows(journal.entries(spark, paths.bronze, "ledger"), schemas.BRONZE)
         _finish(streaming.ledger_stream(arriving, paths, ALL_NOW))
     return paths
 
@@ -298,7 +298,7 @@ def payment_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_stream_payment": _gold_stream("payment_type"),
         "gold_stream_risk": _gold_stream("risk_level"),
         "gold_stream_city": _gold_stream("city"),
-        "gold_stream_before_restart": _gold_stream("payment_type", STAMPS[FILES - 1]),
+        "gold_stream_before_restart": _gold_stream("payment_type", STAMPS[BATCHES - 1]),
         "ledger_stream": _ledger_stream,
         "alert_stream": _alert_stream,
     }
@@ -546,7 +546,7 @@ SELECT {base}, is_high_value, is_night_transaction, risk_level FROM silver""",
         "gold_stream_risk": f"WITH {_SILVER} {_metrics('risk_level')}",
         "gold_stream_city": f"WITH {_SILVER} {_metrics('city', _TOP_20)}",
         "gold_stream_before_restart": f"""WITH {_SILVER}
-SELECT * REPLACE (TIMESTAMP '{STAMPS[FILES - 1]}' AS snapshot_time)
+SELECT * REPLACE (TIMESTAMP '{STAMPS[BATCHES - 1]}' AS snapshot_time)
 FROM ({_metrics('payment_type').replace('FROM silver', f"FROM silver WHERE transaction_timestamp < TIMESTAMP '{SPLIT}'")})""",
         "ledger_stream": f"{first_writes} SELECT {entry_columns} FROM scored",
         "alert_stream": f"{first_writes} SELECT {alert_columns} FROM scored WHERE is_fraud",

@@ -4,7 +4,7 @@ import pytest
 from helpers import history, messages, payload, rows, silver_rows
 from pyspark.sql import functions as F
 
-from tidemark import cli, schemas
+from tidemark import cli, fixtures, schemas
 from tidemark.config import HISTORY_TABLES
 from tidemark.operators import ledger
 from tidemark.sinks import write_batch
@@ -22,7 +22,7 @@ def lake(spark, paths, monkeypatch):
 
 
 def test_gold_job(spark, paths):
-    silver_rows(spark, ("1", 10.0, "UPI", "A", "LOW")).write.parquet(paths.silver)
+    fixtures.deliver(silver_rows(spark, ("1", 10.0, "UPI", "A", "LOW")), paths.silver)
     cli.main(["gold", "--root", paths.root, "--once"])
     for dimension, value in (("payment_type", "UPI"), ("risk_level", "LOW"), ("city", "A")):
         table = batch_table(spark, paths.history(dimension), schemas.gold(dimension))

@@ -7,8 +7,8 @@ from collections import Counter
 from helpers import ALL_NOW, messages, payload, rows
 from pyspark.sql import functions as F
 
-from tidemark import schemas, streaming
-from tidemark.config import DIMENSIONS, HISTORY_TABLES, JdbcTarget
+from tidemark import journal, schemas, streaming
+from tidemark.config import HISTORY_TABLES, JdbcTarget
 from tidemark.operators import monitor
 from tidemark.plans import dashboard, serving
 from tidemark.sources import batch_table, jdbc_recent, parquet_stream
@@ -45,11 +45,10 @@ def test_messages_to_dashboard(spark, paths):
         topic = parquet_stream(spark, f"{paths.root}/topic", schemas.MESSAGES)
         streaming.bronze_stream(topic, paths, ALL_NOW).awaitTermination()
         streaming.silver_stream(spark, paths, ALL_NOW).awaitTermination()
-        for dimension in DIMENSIONS:
-            streaming.gold_stream(
-                spark, paths, dimension, trigger=ALL_NOW, clock=lambda: f"2001-01-0{number + 1} 00:00:00"
-            ).awaitTermination()
-        bronze = parquet_stream(spark, paths.bronze, schemas.BRONZE)
+        streaming.gold_stream(
+            spark, paths, trigger=ALL_NOW, clock=lambda: f"2001-01-0{number + 1} 00:00:00"
+        ).awaitTermination()
+        bronze = journal.rows(journal.entries(spark, paths.bronze, "ledger"), schemas.BRONZE)
         streaming.ledger_stream(bronze, paths, ALL_NOW).awaitTermination()
         results = serving.sync_all(spark, serving.histories(spark, paths), target)
         assert all(r.error is None and r.rows > 0 for r in results)

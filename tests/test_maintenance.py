@@ -1,7 +1,7 @@
 import pytest
 from helpers import ALL_NOW, history, rows, silver_rows
 
-from tidemark import cli, layout, schemas, streaming
+from tidemark import cli, fixtures, layout, schemas, streaming
 from tidemark.plans.maintenance import compact
 from tidemark.sinks import create_table, write_batch
 from tidemark.sources import batch_table
@@ -52,7 +52,7 @@ def test_an_incomplete_merge_is_not_read_and_done_again(spark, tmp_path):
 
 def test_a_fold_between_two_triggers(spark, paths, capsys):
     for number in range(5):
-        silver_rows(spark, (str(number), 10.0, "UPI", f"city{number}", "LOW")).write.mode("append").parquet(paths.silver)
+        fixtures.deliver(silver_rows(spark, (str(number), 10.0, "UPI", f"city{number}", "LOW")), paths.silver)
         streaming.gold_stream(spark, paths, "city", trigger=ALL_NOW).awaitTermination()
         if number == 3:
             cli.main(["compact", "--root", paths.root])

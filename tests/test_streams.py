@@ -6,9 +6,9 @@ import pytest
 from helpers import ALL_NOW, messages, payload, rows, silver_rows, texts
 from pyspark.sql import functions as F
 
-from tidemark import fixtures, schemas, streaming
+from tidemark import fixtures, journal, schemas, streaming
 from tidemark.operators import gold, ledger, silver
-from tidemark.sources import batch_table, parquet_stream, parquet_table
+from tidemark.sources import batch_table, parquet_stream
 from tidemark.streaming.ledger import create_ledger, write_ledger_batch
 from tidemark.streaming.progress import summarise
 
@@ -48,7 +48,7 @@ def test_bronze_stream(spark, paths):
     stream = parquet_stream(spark, f"{paths.root}/in", schemas.MESSAGES)
     for _ in range(2):
         finish(streaming.bronze_stream(stream, paths, ALL_NOW))
-    table = parquet_table(spark, paths.bronze, schemas.BRONZE)
+    table = batch_table(spark, paths.bronze, schemas.BRONZE)
     assert rows(table, "json_data", "offset") == [(payload("a"), 0), (payload("b"), 1)]
 
 
@@ -56,9 +56,9 @@ def test_silver_stream_equals_batch_for_any_split(spark, paths):
     values = [payload(str(i), 500.0 * i, f"2001-02-03T{i:02}:00:00") for i in range(12)] + ["junk", payload("0")]
     random.Random(3).shuffle(values)
     for part in (values[:1], values[1:6], values[6:]):
-        fixtures.write_bronze(texts(spark, *part), paths.bronze)
-        finish(streaming.silver_stream(spark, paths, ALL_NOW, max_files=1))
-    found = parquet_table(spark, paths.silver, schemas.SILVER)
+        fixtures.write_bronze(texts(spark, *part), paths.bronze, 3)
+        finish(streaming.silver_stream(spark, paths, ALL_NOW, max_batches=1))
+    found = batch_table(spark, paths.silver, schemas.SILVER)
     assert rows(found) == rows(silver.to_silver(texts(spark, *values)))
 
 
@@ -66,9 +66,9 @@ def test_a_stray_file_is_not_part_of_a_streamed_table(spark, paths, tmp_path):
     fixtures.write_bronze(texts(spark, payload("a")), paths.bronze)
     finish(streaming.silver_stream(spark, paths, ALL_NOW))
     folder = tmp_path / "data" / "silver"
-    part = next(folder.glob("part-*.parquet"))
+    part = next(folder.glob("**/part-*.parquet"))
     (folder / "stray.parquet").write_bytes(part.read_bytes())
-    assert parquet_table(spark, paths.silver, schemas.SILVER).count() == 1
+    assert batch_table(spark, paths.silver, schemas.SILVER).count() == 1
 
 
 # ---------------------------------------------------------------- gold
@@ -79,7 +79,7 @@ def test_gold_stream_is_cumulative(spark, paths, dimension):
     data = transactions(300)
     seen = []
     for part in (data[:20], data[20:210], data[210:]):
-        silver_rows(spark, *part).repartition(3).write.mode("append").parquet(paths.silver)
+        fixtures.deliver(silver_rows(spark, *part), paths.silver)
         seen += part
         stamp = f"2001-01-01 00:00:{len(seen) % 60:02}"
         finish(streaming.gold_stream(spark, paths, dimension, trigger=ALL_NOW, clock=lambda: stamp))
@@ -89,16 +89,16 @@ def test_gold_stream_is_cumulative(spark, paths, dimension):
     assert gold_history(spark, paths, dimension).select("snapshot_time").distinct().count() == 3
 
 
-def test_gold_stream_one_file_per_trigger(spark, paths):
-    silver_rows(spark, *transactions(60)).repartition(4).write.parquet(paths.silver)
-    finish(streaming.gold_stream(spark, paths, "payment_type", trigger=ALL_NOW, max_files=1))
+def test_gold_stream_one_batch_per_trigger(spark, paths):
+    fixtures.deliver(silver_rows(spark, *transactions(60)), paths.silver, 4)
+    finish(streaming.gold_stream(spark, paths, "payment_type", trigger=ALL_NOW, max_batches=1))
     snapshots = gold_history(spark, paths, "payment_type").groupBy("snapshot_time").agg(F.sum("transaction_count"))
     totals = [r[1] for r in snapshots.orderBy("snapshot_time").collect()]
     assert len(totals) == 4 and totals == sorted(totals) and totals[-1] == 60
 
 
 def test_idle_silver_makes_no_snapshot(spark, paths):
-    silver_rows(spark, *transactions(5)).write.parquet(paths.silver)
+    fixtures.deliver(silver_rows(spark, *transactions(5)), paths.silver)
     for _ in range(3):
         finish(streaming.gold_stream(spark, paths, "city", trigger=ALL_NOW))
     assert gold_history(spark, paths, "city").select("snapshot_time").distinct().count() == 1
@@ -106,18 +106,18 @@ def test_idle_silver_makes_no_snapshot(spark, paths):
 
 def test_gold_replay_replaces_its_snapshot(spark, paths, tmp_path):
     """Remove the commit of the last batch, as if the driver had died after writing the snapshot."""
-    silver_rows(spark, *transactions(40)).repartition(2).write.parquet(paths.silver)
-    finish(streaming.gold_stream(spark, paths, "payment_type", trigger=ALL_NOW, max_files=1))
+    fixtures.deliver(silver_rows(spark, *transactions(40)), paths.silver, 2)
+    finish(streaming.gold_stream(spark, paths, "payment_type", trigger=ALL_NOW, max_batches=1))
     before = rows(gold_history(spark, paths, "payment_type"))
-    commits = tmp_path / "checkpoints" / "gold_payment_type" / "commits"
+    commits = tmp_path / "checkpoints" / "gold_payment_type_changes" / "commits"
     (commits / "1").unlink()
     (commits / ".1.crc").unlink(missing_ok=True)
-    finish(streaming.gold_stream(spark, paths, "payment_type", trigger=ALL_NOW, max_files=1))
+    finish(streaming.gold_stream(spark, paths, "payment_type", trigger=ALL_NOW, max_batches=1))
     assert rows(gold_history(spark, paths, "payment_type")) == before
 
 
 def test_a_new_checkpoint_overwrites_no_history(spark, paths, tmp_path):
-    silver_rows(spark, *transactions(5)).write.parquet(paths.silver)
+    fixtures.deliver(silver_rows(spark, *transactions(5)), paths.silver)
     finish(streaming.gold_stream(spark, paths, "city", trigger=ALL_NOW, clock=lambda: "2001-01-01 00:00:00"))
     (tmp_path / "checkpoints").rename(tmp_path / "checkpoints-before")
     finish(streaming.gold_stream(spark, paths, "city", trigger=ALL_NOW, clock=lambda: "2001-01-02 00:00:00"))
@@ -125,15 +125,13 @@ def test_a_new_checkpoint_overwrites_no_history(spark, paths, tmp_path):
 
 
 def test_few_state_partitions_whatever_the_session_says(spark, paths):
-    silver_rows(spark, *transactions(5)).write.parquet(paths.silver)
+    fixtures.deliver(silver_rows(spark, *transactions(5)), paths.silver)
     query = finish(streaming.gold_stream(spark, paths, "city", trigger=ALL_NOW, state_partitions=2))
     assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 2
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
 
 
-def test_streams_start_before_their_input_has_files(spark, paths, tmp_path):
-    for layer in ("bronze", "silver"):
-        (tmp_path / "data" / layer).mkdir(parents=True)
+def test_streams_start_before_their_input_has_files(spark, paths):
     finish(streaming.silver_stream(spark, paths, ALL_NOW))
     finish(streaming.gold_stream(spark, paths, "city", trigger=ALL_NOW))
     assert gold_history(spark, paths, "city").count() == 0
@@ -143,7 +141,7 @@ def test_streams_start_before_their_input_has_files(spark, paths, tmp_path):
 
 
 def run_ledger(spark, paths, **options):
-    stream = parquet_stream(spark, paths.bronze, schemas.BRONZE, max_files=1)
+    stream = journal.rows(journal.entries(spark, paths.bronze, "ledger", 1), schemas.BRONZE)
     return finish(streaming.ledger_stream(stream, paths, ALL_NOW, **options))
 
 

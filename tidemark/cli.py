@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.config import DIMENSIONS, HISTORY_TABLES, TOPIC, JdbcTarget, Paths
+from tidemark.journal import MAX_BATCHES
 from tidemark.operators import monitor
 from tidemark.operators.snapshots import TIME
 from tidemark.operators.bronze import to_bronze
@@ -38,7 +39,7 @@ def _messages(spark: SparkSession, args, starting_offsets: str) -> DataFrame:
 
 
 def _limits(args) -> dict:
-    return {"max_files": args.max_files, "max_bytes": args.max_bytes}
+    return {"max_batches": args.max_batches}
 
 
 def _served(args) -> JdbcTarget | None:
@@ -62,9 +63,7 @@ def run_silver(spark, args):
 
 
 def run_gold(spark, args):
-    dimensions = [args.dimension] if args.dimension else DIMENSIONS
-    paths, trigger = Paths(args.root), _trigger(args)
-    return [gold_stream(spark, paths, d, trigger=trigger, **_limits(args)) for d in dimensions]
+    return [gold_stream(spark, Paths(args.root), args.dimension or DIMENSIONS, trigger=_trigger(args), **_limits(args))]
 
 
 def run_ledger(spark, args):
@@ -98,6 +97,8 @@ def run_compact(spark, args):
     paths = Paths(args.root)
     tables = {paths.history(d): schemas.gold(d) for d in DIMENSIONS}
     tables |= {paths.ledger: schemas.LEDGER, paths.alerts: schemas.FRAUD_ALERTS}
+    tables |= {paths.bronze: schemas.BRONZE, paths.silver: schemas.SILVER}
+    tables |= {paths.changes(query): schemas.CHANGES for query in ("gold", *(f"gold_{d}" for d in DIMENSIONS))}
     for path, schema in tables.items():
         print(f"{path}: {maintenance.compact(spark, path, schema)} folds merged")
 
@@ -156,8 +157,7 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--max-offsets", type=int)
             command.add_argument("--option", action="append", default=[], help="a connector option, NAME=VALUE")
         if name in ("silver", "gold"):
-            command.add_argument("--max-files", type=int)
-            command.add_argument("--max-bytes")
+            command.add_argument("--max-batches", type=int, help=f"batches per trigger, {MAX_BATCHES} if not given")
         if name in ("health", "report", "dashboard"):
             command.add_argument("--lake", action="store_true", help="read the lake even if a database is set")
         return command

@@ -76,6 +76,10 @@ class Paths:
     def history(self, dimension: str) -> str:
         return self._at("data", "gold", HISTORY_TABLES.get(dimension, f"{dimension}_metrics_history"))
 
+    def changes(self, query: str) -> str:
+        """The values that the triggers of a gold query changed."""
+        return self._at("data", "gold", f"{query}_changes")
+
     def checkpoint(self, name: str) -> str:
         return self._at("checkpoints", name)
 

@@ -15,6 +15,7 @@ from tidemark.config import TOP_N
 from tidemark.functions.features import risk_level
 from tidemark.operators import gold
 from tidemark.session import scratch_path
+from tidemark.sinks import append_batch
 from tidemark.sources import parquet_table
 
 PAYMENT_TYPES = ("UPI", "CREDIT_CARD", "DEBIT_CARD", "NET_BANKING")
@@ -100,13 +101,20 @@ def already_in_ledger(tx: DataFrame) -> DataFrame:
     return tx.where(F.col("transaction_timestamp") < F.lit(LEDGER_UNTIL).cast("timestamp_ntz"))
 
 
-def write_bronze(messages: DataFrame, path: str) -> None:
-    """Appends one delivery of messages to a bronze directory."""
+def write_bronze(messages: DataFrame, path: str, batches: int = 1) -> None:
+    """Appends a delivery of messages to a bronze table."""
     columns = [
         (F.col(f.name) if f.name in messages.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schemas.BRONZE.fields
     ]
-    messages.select(*columns).write.mode("append").parquet(path)
+    deliver(messages.select(*columns), path, batches)
+
+
+def deliver(rows: DataFrame, path: str, batches: int = 1) -> None:
+    """Appends rows to a table, dealt to some batches."""
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(batches))
+    for number in range(batches):
+        append_batch(rows.where(part == number), path)
 
 
 def cumulative(tx: DataFrame, dimensions: Sequence[str]) -> DataFrame:

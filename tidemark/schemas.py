@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql.types import (
     BinaryType,
     BooleanType,
@@ -70,6 +72,21 @@ def gold(dimension: str) -> StructType:
     )
 
 
+def only(schema: StructType, names: Sequence[str]) -> StructType:
+    """The named fields of a schema."""
+    return StructType([schema[name] for name in names])
+
+
+# The metrics of the dimension values that one micro-batch changed.
+CHANGES = _schema(
+    dimension=StringType(),
+    value=StringType(),
+    transaction_count=LongType(),
+    total_amount=DoubleType(),
+    avg_amount=DoubleType(),
+    snapshot_time=TimestampType(),
+)
+
 TRANSACTIONS = _schema(
     transaction_id=StringType(),
     user_id=StringType(),

@@ -1,4 +1,4 @@
-from tidemark.sinks.files import append_stream, create_table, write_batch
+from tidemark.sinks.files import append_batch, create_table, write_batch
 from tidemark.sinks.jdbc import jdbc_append
 
-__all__ = ["append_stream", "create_table", "jdbc_append", "write_batch"]
+__all__ = ["append_batch", "create_table", "jdbc_append", "write_batch"]

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark import schemas
+from tidemark import journal, schemas
 from tidemark.config import Paths, Thresholds
 from tidemark.operators.silver import to_silver
-from tidemark.sinks import append_stream
-from tidemark.sources import parquet_stream
+from tidemark.streaming.append import append_stream
 
 
 def silver_stream(
@@ -17,10 +16,15 @@ def silver_stream(
     paths: Paths,
     trigger: dict | None = None,
     thresholds: Thresholds = Thresholds(),
-    max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_batches: int | None = None,
 ) -> StreamingQuery:
-    bronze = parquet_stream(spark, paths.bronze, schemas.BRONZE, max_files, max_bytes)
+    """One batch of silver per trigger with new batches of bronze."""
     return append_stream(
-        to_silver(bronze, thresholds), paths.silver, paths.checkpoint("silver"), trigger, "silver"
+        journal.entries(spark, paths.bronze, "silver", max_batches),
+        paths.silver,
+        schemas.SILVER,
+        paths.checkpoint("silver_batches"),
+        trigger,
+        "silver",
+        lambda batch: to_silver(journal.taken(spark, batch, schemas.BRONZE), thresholds),
     )
