@@ -53,11 +53,35 @@ def test_words_encode_as_the_tokenizer_does(text):
 
 
 def test_special_strings_and_a_full_cache(monkeypatch):
-    monkeypatch.setattr(packing, "CACHED_WORDS", 3)
+    monkeypatch.setattr(packing, "MEMO_BYTES", 3)
     for text in ("<|endoftext|> It's they'LL 12ab", "ÀÉ×÷ÿ _x_ don't", "a\x1cb c\x85d", "İstanbul ΑΣ", "one two three four five six"):
         assert np.frombuffer(packing.WordEncoder(PATH).encode(text), "<u4").tolist() == ids(text)[:-1]
 
 
+LATIN = st.sampled_from(list("aSstTmdDrReEvVlL'''..,-<|>019 \t\nÀÉéß×÷ÿ") + ["'s", "'Re", "'ll", "’", "\x1c", "\xa0", "日", "e\u0301"])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(LATIN, max_size=25).map("".join) | st.none(), max_size=6))
+def test_columns_encode_as_the_tokenizer_does(texts):
+    column = packing.pa.array(texts, packing.pa.string())
+    found = list(packing.WordEncoder(PATH).texts(column))
+    assert [f.tolist() for f in found] == [ids(t)[:-1] for t in texts]
+
+
+def test_another_tokenizer_gets_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, normalizers
+
+    other = Tokenizer.from_file(PATH)
+    other.normalizer = normalizers.NFC()
+    other.save(str(tmp_path / "t.json"))
+    encoder = packing.WordEncoder(str(tmp_path / "t.json"))
+    for text in ("The Same  words", "It's", ""):
+        expected = other.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == expected
+    assert encoder.encode("The") != packing.WordEncoder(PATH).encode("The")
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 50), max_size=20))
 def test_patterns_place_every_piece_once(histogram):

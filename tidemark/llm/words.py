@@ -164,10 +164,10 @@ def words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = NON_BLANK)
 
 
 def sliced_words(
-    column: pa.Array | pa.ChunkedArray, member: np.ndarray = NON_BLANK, lower: bool = False
+    column: pa.Array | pa.ChunkedArray, member: np.ndarray = NON_BLANK, lower: bool = False, limit: int = SLICE_BYTES
 ) -> Iterator[tuple[int, int, Words]]:
     """Ranges of documents and their words, a slice at a time."""
     data, offsets = buffers(column)
-    for lo, hi in slices(offsets):
+    for lo, hi in slices(offsets, limit):
         part = data[offsets[lo] : offsets[hi]]
         yield lo, hi, words(lowered(part) if lower else part, offsets[lo : hi + 1] - offsets[lo], member)
