@@ -1,5 +1,5 @@
 import corpus_pipeline
-from corpus_helpers import table
+from corpus_helpers import table, words
 from test_ngram_join import brute as near
 from test_packing import check
 from test_substring_dedup import brute as cut
@@ -56,3 +56,14 @@ def test_odd_rows_and_empty_tables_pass(spark, odd_docs, no_docs, sf_dir):
                 assert made.columns == odd_docs.columns
                 docs = made
         assert (made.count() > 0) == (docs.count() > 0)
+
+
+def test_near_duplicates_are_dropped_by_row_and_not_by_id(spark, sf_dir):
+    a, b, c = words(1, 80), words(2, 80), words(3, 80)
+    rows = [(7, a), (7, a), (7, a), (None, b), (None, b), (9, a), (9, c), (3, None), (3, None), (4, ""), (11, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "'!' AS row", "1 AS class_id")
+    stage = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"]
+    kept = stage(spark, docs, sf_dir)
+    assert kept.columns == docs.columns
+    expected = [(7, a), (11, b), (9, c), (3, None), (3, None), (4, "")]
+    assert pairs(kept) == sorted(expected, key=repr)

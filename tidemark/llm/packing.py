@@ -35,7 +35,7 @@ from tidemark.llm.words import Words, byte_table, lowered, sliced_words
 SEQUENCE = 4096
 END = 2
 # Text that is taken into arrays at once, and what a task remembers of parts of words and their ids.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 MEMO_BYTES = 48 << 20
 
 # ---------------------------------------------------------------- tokens

@@ -189,6 +189,8 @@ def _signed(keys: np.ndarray) -> np.ndarray:
 
 def _grouped(keys: tuple[np.ndarray, ...], ids: np.ndarray):
     """Distinct keys with the smallest and largest id."""
+    if not len(ids):
+        return keys, ids, ids
     order = np.lexsort((ids, *reversed(keys)))
     keys, ids = tuple(k[order] for k in keys), ids[order]
     new = np.ones(len(ids), bool)

@@ -1,7 +1,8 @@
 """Words and their hashes, by numpy over the UTF-8 bytes of whole Arrow columns.
 
-Hashes are polynomials in 64-bit arithmetic with a mixing step: the same in every process, and of any
-span from two prefix sums. Two seeds together make a 128-bit name.
+A word's hash is the sum of a mixed value per byte and place, so that no two texts differ by a pattern that sums cancel. Hashes of
+spans of words are polynomials in 64-bit arithmetic with a mixing step, from two prefix sums. All are the same in every
+process; two seeds together make a 128-bit name.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ import pyarrow.compute as pc
 SLICE_BYTES = 1 << 20
 BLOCK_BYTES = 1 << 19
 
+# Places in a word whose values are looked up; those further on are worked out.
+PLACES = 64
+
 MULTIPLIERS = (0x9E3779B97F4A7C15 | 1, 0xD1342543DE82EF95)
 
 
@@ -58,9 +62,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _placed(byte: np.ndarray, place: np.ndarray, seed: int) -> np.ndarray:
+    """A value per byte and its place in the word."""
+    return mix((place.astype(np.uint64) << np.uint64(8)) + byte.astype(np.uint64) + np.uint64((seed + 1) << 56))
+
+
 @cache
-def _byte_values(seed: int) -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) + np.uint64(1000 * (seed + 1)))
+def _first_places(seed: int) -> np.ndarray:
+    place, byte = np.divmod(np.arange(PLACES * 256), 256)
+    return _placed(byte, place, seed)
 
 
 _POWERS: dict[int, np.ndarray] = {}
@@ -121,10 +131,17 @@ class Words:
             if lo < hi:
                 base = self.start[lo]
                 start, end = self.start[lo:hi] - base, self.end[lo:hi] - base
-                prefix = Prefix(_byte_values(seed)[self.data[base : self.end[hi - 1]]], seed)
+                data = self.data[base : self.end[hi - 1]]
+                place = np.arange(len(data)) - np.repeat(start, np.diff(np.r_[start, len(data)]))
+                # Blanks have a value too; it is in no word's span.
+                far = np.flatnonzero(place >= PLACES)
+                values = _first_places(seed)[(np.minimum(place, PLACES - 1) << 8) | data]
+                values[far] = _placed(data[far], place[far], seed)
+                sums = np.zeros(len(data) + 1, np.uint64)
+                np.cumsum(values, out=sums[1:])
                 if length is not None:
                     end = np.minimum(end, start + length)
-                found[lo:hi] = prefix.spans(start, end)
+                found[lo:hi] = mix(sums[end] - sums[start] + (end - start).astype(np.uint64) * np.uint64(MULTIPLIERS[seed]))
         return found
 
 
