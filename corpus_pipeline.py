@@ -1,7 +1,7 @@
 """The corpus pipeline: each stage takes what its predecessor kept and writes what it keeps.
 
-Stages take (spark, docs, sf_dir). All but the last return the columns of ``documents``. A row with a null id is never
-dropped for another row's sake; empty tables go through all stages.
+Stages take (spark, docs, sf_dir). All but the last return the columns of ``documents``. Of repeated rows one is
+kept; empty tables go through all stages.
 """
 
 from __future__ import annotations
@@ -25,11 +25,19 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each class of near copies, and all rows with a null id."""
+    """Keeps one row of each class of near copies: that with the least id, a null id last. Rows are told apart by a written
+    number, so of repeated rows one stays, and a row does not go for another that has its id."""
     importable(spark)
-    classes = ngram_join.classes(docs)
-    later = written(classes.where("doc_id != class_id").select("doc_id").distinct(), "later")
-    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = ngram_join.classes(rows.select(F.col(row).alias("doc_id"), "text")).where("n_links > 0")
+    members = found.select(F.col("doc_id").alias(row), "class_id").join(rows.select(row, "doc_id"), row)
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    first = members.groupBy("class_id").agg(F.min(rank)[row].alias(row))
+    later = written(members.select(row).join(first.select(row), row, "left_anti"), "later")
+    return rows.join(later, row, "left_anti").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
