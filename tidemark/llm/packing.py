@@ -35,7 +35,7 @@ from tidemark.llm.words import Words, byte_table, lowered, sliced_words
 SEQUENCE = 4096
 END = 2
 # Text that is taken into arrays at once, and what a task remembers of parts of words and their ids.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 MEMO_BYTES = 48 << 20
 
 # ---------------------------------------------------------------- tokens
@@ -189,6 +189,7 @@ class WordEncoder:
             end = np.cumsum(size)
             ids = self.ids[np.repeat(start - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
             bounds = np.r_[0, end][documents]
+            del data, array, encoded, number, start, size
             yield from (ids[a:b] for a, b in zip(bounds[:-1], bounds[1:]))
 
     def encode(self, text: str) -> bytes:
@@ -232,6 +233,9 @@ def pieces(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, end: int
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, pa.binary() if k == "ids" else pa.int64()) for k, v in rows.items()], list(rows)
                 )
+        # The worker goes on to other stages; what this one took is given back.
+        del encoder
+        pa.default_memory_pool().release_unused()
 
     schema = PIECES + (", ids binary" if with_ids else "")
     return docs.select("doc_id", "text").mapInArrow(cut, schema)
