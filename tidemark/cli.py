@@ -63,7 +63,8 @@ def run_silver(spark, args):
 
 
 def run_gold(spark, args):
-    return [gold_stream(spark, Paths(args.root), args.dimension or DIMENSIONS, trigger=_trigger(args), **_limits(args))]
+    limits, dimensions = _limits(args), args.dimension or DIMENSIONS
+    return [gold_stream(spark, Paths(args.root), dimensions, trigger=_trigger(args), preview=args.preview, **limits)]
 
 
 def run_ledger(spark, args):
@@ -164,7 +165,9 @@ def parser() -> argparse.ArgumentParser:
 
     job("bronze", run_bronze)
     job("silver", run_silver)
-    job("gold", run_gold, every="1 minute").add_argument("--dimension", choices=DIMENSIONS)
+    gold = job("gold", run_gold, every="1 minute")
+    gold.add_argument("--dimension", choices=DIMENSIONS)
+    gold.add_argument("--preview", type=int, default=0, help="rows of every snapshot to print")
     job("ledger", run_ledger)
     job("sync", run_sync)
     job("backfill", run_backfill)

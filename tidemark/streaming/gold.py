@@ -34,12 +34,14 @@ def gold_stream(
     clock: Callable[[], datetime | str] | None = None,
     max_batches: int | None = None,
     state_partitions: int = 8,
+    preview: int = 0,
 ) -> StreamingQuery:
     """One snapshot per dimension and micro-batch with new batches; none while silver is idle.
 
     ``n`` defaults to each dimension's usual limit. Snapshots of a micro-batch carry one time: its own, which a
     replay repeats, unless a ``clock`` is given. The number of state partitions is fixed by the first
-    checkpoint; every one costs a state file per trigger, so it is kept small for the few groups there are.
+    checkpoint; every one costs a state file per trigger, so it is kept small for the few groups there are. The first
+    ``preview`` rows of every snapshot are printed.
     """
     dimensions = (dimension,) if isinstance(dimension, str) else tuple(dimension)
     name = "gold" if dimensions == DIMENSIONS else f"gold_{'_'.join(dimensions)}"
@@ -50,7 +52,9 @@ def gold_stream(
 
     needed = schemas.only(schemas.SILVER, (*dimensions, "amount"))
     silver = journal.rows(journal.entries(spark, paths.silver, name, max_batches), needed)
-    measured = gold.stamp(gold.metrics_by(silver, dimensions))
+    # Counted in passing, for the progress of the query.
+    rows = F.count(F.lit(1)).alias("rows")
+    measured = gold.stamp(gold.metrics_by(silver.observe("silver", rows), dimensions)).observe("changed", rows)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stream = query_id(batch)
@@ -62,7 +66,9 @@ def gold_stream(
             limit = TOP_N.get(d) if n is None else n
             before = _previous(spark, paths.history(d), schemas.gold(d), stream, batch_id)
             snapshot = gold.advance(before, changed, d, limit, time)
-            write_batch(snapshot.select(schemas.gold(d).fieldNames()), paths.history(d), stream, batch_id)
+            made = write_batch(snapshot.select(schemas.gold(d).fieldNames()), paths.history(d), stream, batch_id)
+            if preview:
+                parquet_table(spark, made, schemas.gold(d)).orderBy(*gold.by_count(d)).show(preview, truncate=False)
 
     writer = (
         measured.writeStream.outputMode("update")

@@ -7,9 +7,10 @@ other streams have written, such as one with an earlier checkpoint, is compared
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,6 +23,8 @@ from tidemark.sinks import create_table, write_batch
 from tidemark.sources import batch_table, parquet_table
 from tidemark.streaming.identity import query_id
 
+log = logging.getLogger("tidemark.streaming")
+
 # A batch whose ids fit in this much memory per executor is compared with the ledger by broadcast.
 BROADCAST_BYTES = 128 * 1024 * 1024
 
@@ -81,7 +84,11 @@ def _add(
         small = ledger.key_bytes(staged).first()["bytes"] <= broadcast_bytes
         found = ledger.matching_keys(existing, staged, broadcast=small)
         added = ledger.not_in(staged, found, broadcast=small)
+    # Counted while the rows are written.
+    counts = Observation()
+    added = added.observe(counts, F.count(F.lit(1)).alias("entries"), F.count_if("is_fraud").alias("alerts"))
     written = write_batch(added.select(schemas.LEDGER.fieldNames()), paths.ledger, stream, batch_id)
+    log.info("ledger batch %s: %s entries, %s alerts", batch_id, counts.get["entries"], counts.get["alerts"])
 
     rows = parquet_table(spark, written, schemas.LEDGER)
     write_batch(ledger.fraud_alerts(rows), paths.alerts, stream, batch_id)

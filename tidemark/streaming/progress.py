@@ -11,7 +11,7 @@ log = logging.getLogger("tidemark.streaming")
 
 
 class ProgressLog(StreamingQueryListener):
-    """Logs one line per micro-batch: rows read, duration and rows of state."""
+    """Logs one line per micro-batch: rows read, duration, rows of state, and what the query counted in passing."""
 
     def onQueryStarted(self, event) -> None:
         log.info("%s started", event.name or event.id)
@@ -30,10 +30,12 @@ class ProgressLog(StreamingQueryListener):
 
 
 def summarise(progress: dict) -> dict:
+    observed = progress.get("observedMetrics")
     return {
         "query": progress.get("name") or progress.get("id"),
         "batch": progress.get("batchId"),
         "rows": progress.get("numInputRows"),
         "milliseconds": progress.get("durationMs", {}).get("triggerExecution"),
         "state_rows": sum(op.get("numRowsTotal", 0) for op in progress.get("stateOperators", [])),
+        **({"observed": observed} if observed else {}),
     }
