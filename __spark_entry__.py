@@ -48,6 +48,10 @@ def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.json_messages(fixtures.transactions(spark, sf_dir))
 
 
+def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.damaged(fixtures.transactions(spark, sf_dir))
+
+
 def _delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New and repeated messages, typed."""
     return fixtures.with_repeats(fixtures.delivered(fixtures.transactions(spark, sf_dir)))
@@ -264,6 +268,7 @@ def payment_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "silver_parse": lambda spark, sf_dir: silver.valid(silver.parse(_bronze(spark, sf_dir))),
         "silver_features": _silver_features,
+        "silver_rejects": lambda spark, sf_dir: silver.reject_counts(_damaged(spark, sf_dir)),
         "fraud_score": _fraud_score,
         "ledger_new_transactions": lambda spark, sf_dir: ledger.transactions(_new_entries(spark, sf_dir)),
         "fraud_alerts": lambda spark, sf_dir: ledger.fraud_alerts(_new_entries(spark, sf_dir)),
@@ -483,6 +488,11 @@ SELECT '{{"transaction_id":"' || transaction_id || '","user_id":"' || user_id ||
        || '","amount":' || CAST(amount AS VARCHAR) || ',"payment_type":"' || payment_type || '","city":"' || city
        || '","transaction_timestamp":"' || strftime(transaction_timestamp, '%Y-%m-%dT%H:%M:%S') || '"}}' AS json_data
 FROM tx""",
+        "silver_rejects": f"""WITH {_TX}
+            SELECT CASE CAST(transaction_id AS BIGINT) % 10 WHEN 1 THEN 'unreadable' WHEN 2 THEN 'no id'
+                        WHEN 5 THEN 'no message' ELSE 'no amount' END AS reason,
+                   count(*) AS n
+            FROM tx WHERE CAST(transaction_id AS BIGINT) % 10 BETWEEN 1 AND 5 GROUP BY 1""",
         "silver_parse": f"WITH {_TX} SELECT {base} FROM tx",
         "silver_features": f"""WITH {_SILVER}
 SELECT transaction_id, is_high_value, is_night_transaction, risk_level FROM silver""",

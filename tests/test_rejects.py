@@ -1,0 +1,34 @@
+from helpers import ALL_NOW, payload, rows, texts
+
+from tidemark import fixtures, schemas, streaming
+from tidemark.operators import silver
+from tidemark.sources import batch_table
+
+BAD = [
+    (None, "no message"), ("junk", "unreadable"), ("", "unreadable"), ("[1]", "unreadable"), ("{}", "no id"),
+    (payload(None), "no id"), (payload("a", None), "no amount"), (payload("a", "much"), "no amount"),
+    ('{"amount": 5}', "no id"), ('{"transaction_id": "a"', "unreadable"),
+]
+GOOD = [payload("a"), payload("b", at="never"), '{"transaction_id": "c", "amount": 1, "more": []}']
+
+
+def test_every_message_is_a_row_of_silver_or_a_reject(spark):
+    bronze = texts(spark, *[text for text, _ in BAD], *GOOD)
+    found = dict(rows(silver.rejects(bronze)))
+    kept = silver.valid(silver.parse(bronze)).count()
+    assert kept + silver.rejects(bronze).count() == len(BAD) + len(GOOD) and kept >= len(GOOD)
+    expected = dict(BAD)
+    # A cut text whose id was read lacks the amount only.
+    expected['{"transaction_id": "a"'] = found['{"transaction_id": "a"']
+    assert {t: r for t, r in found.items() if t != ""} == {t: r for t, r in expected.items() if t != ""}
+    assert found[""] in ("unreadable", "no id")
+
+
+def test_rejects_stream_beside_silver(spark, paths):
+    for values in ([GOOD[0], "junk"], [payload(None), GOOD[1]]):
+        fixtures.write_bronze(texts(spark, *values), paths.bronze)
+        streaming.silver_stream(spark, paths, ALL_NOW).awaitTermination()
+        streaming.rejects_stream(spark, paths, ALL_NOW).awaitTermination()
+    assert batch_table(spark, paths.silver, schemas.SILVER).count() == 2
+    table = batch_table(spark, paths.rejects, schemas.REJECTS)
+    assert rows(table, "reason") == [("no id",), ("unreadable",)]

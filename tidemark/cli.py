@@ -18,7 +18,7 @@ from tidemark.operators.bronze import to_bronze
 from tidemark.plans import dashboard, maintenance, serving
 from tidemark.session import build_session
 from tidemark.sources import jdbc_recent, kafka_stream
-from tidemark.streaming import ProgressLog, bronze_stream, gold_stream, ledger_stream, silver_stream
+from tidemark.streaming import ProgressLog, bronze_stream, gold_stream, ledger_stream, rejects_stream, silver_stream
 
 
 def _trigger(args) -> dict | None:
@@ -59,7 +59,9 @@ def run_bronze(spark, args):
 
 
 def run_silver(spark, args):
-    return [silver_stream(spark, Paths(args.root), _trigger(args), **_limits(args))]
+    paths, trigger, limits = Paths(args.root), _trigger(args), _limits(args)
+    streams = [silver_stream(spark, paths, trigger, **limits)]
+    return [*streams, rejects_stream(spark, paths, trigger, **limits)] if args.rejects else streams
 
 
 def run_gold(spark, args):
@@ -98,7 +100,7 @@ def run_compact(spark, args):
     paths = Paths(args.root)
     tables = {paths.history(d): schemas.gold(d) for d in DIMENSIONS}
     tables |= {paths.ledger: schemas.LEDGER, paths.alerts: schemas.FRAUD_ALERTS}
-    tables |= {paths.bronze: schemas.BRONZE, paths.silver: schemas.SILVER}
+    tables |= {paths.bronze: schemas.BRONZE, paths.silver: schemas.SILVER, paths.rejects: schemas.REJECTS}
     tables |= {paths.changes(query): schemas.CHANGES for query in ("gold", *(f"gold_{d}" for d in DIMENSIONS))}
     for path, schema in tables.items():
         print(f"{path}: {maintenance.compact(spark, path, schema)} folds merged")
@@ -164,7 +166,7 @@ def parser() -> argparse.ArgumentParser:
         return command
 
     job("bronze", run_bronze)
-    job("silver", run_silver)
+    job("silver", run_silver).add_argument("--rejects", action="store_true", help="also keep the messages left out")
     gold = job("gold", run_gold, every="1 minute")
     gold.add_argument("--dimension", choices=DIMENSIONS)
     gold.add_argument("--preview", type=int, default=0, help="rows of every snapshot to print")

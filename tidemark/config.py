@@ -61,6 +61,10 @@ class Paths:
     def silver(self) -> str:
         return self._at("data", "silver")
 
+    @property
+    def rejects(self) -> str:
+        return self._at("data", "rejects")
+
     @property
     def ledger(self) -> str:
         return self._at("data", "ledger", "transactions")

@@ -101,6 +101,25 @@ def already_in_ledger(tx: DataFrame) -> DataFrame:
     return tx.where(F.col("transaction_timestamp") < F.lit(LEDGER_UNTIL).cast("timestamp_ntz"))
 
 
+def damaged(tx: DataFrame) -> DataFrame:
+    """Messages of all transactions; those of some orders are cut off, lack a field or have one of the wrong kind."""
+    kind = F.col("transaction_id").cast("long") % 10
+    broken = tx.withColumns(
+        {
+            "kind": kind,
+            "transaction_id": F.when(kind != 2, F.col("transaction_id")),
+            "amount": F.when(kind != 3, F.col("amount")),
+        }
+    )
+    sent = F.to_json(F.struct(*schemas.PAYLOAD.fieldNames()))
+    text = (
+        F.when(F.col("kind") == 1, F.substring(sent, 1, 9))
+        .when(F.col("kind") == 4, F.regexp_replace(sent, '"amount":[^,]*', '"amount":"much"'))
+        .when(F.col("kind") != 5, sent)
+    )
+    return broken.select(text.alias("json_data"))
+
+
 def write_bronze(messages: DataFrame, path: str, batches: int = 1) -> None:
     """Appends a delivery of messages to a bronze table."""
     columns = [

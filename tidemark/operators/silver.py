@@ -10,6 +10,10 @@ from tidemark.config import Thresholds
 from tidemark.functions import features, parsing
 
 
+# Where the parser leaves a text that it could not read whole.
+UNREAD_OPTIONS = {"columnNameOfCorruptRecord": schemas.UNREAD.fieldNames()[0]}
+
+
 def parse(bronze: DataFrame) -> DataFrame:
     """JSON text to typed columns. Unreadable text gives a row of nulls."""
     fields = bronze.select(parsing.json_fields("json_data", schemas.PAYLOAD))
@@ -21,6 +25,33 @@ def valid(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("transaction_id").isNotNull() & F.col("amount").isNotNull())
 
 
+def judged(bronze: DataFrame) -> DataFrame:
+    """Every message with its fields, parsed once, and why silver has no row of it: null if it has.
+
+    A field of the wrong kind is null, as silver has it; a text is unreadable if nothing of it could be read.
+    """
+    schema = schemas.extend(schemas.PAYLOAD, schemas.UNREAD)
+    fields = bronze.select("json_data", F.inline(F.array(F.from_json("json_data", schema, UNREAD_OPTIONS))))
+    lost = F.col("transaction_id").isNull() & F.col("amount").isNull() & F.col("unread").isNotNull()
+    reason = (
+        F.when(F.col("json_data").isNull(), "no message")
+        .when(lost, "unreadable")
+        .when(F.col("transaction_id").isNull(), "no id")
+        .when(F.col("amount").isNull(), "no amount")
+    )
+    return fields.withColumn("reason", reason).drop("unread")
+
+
+def rejects(bronze: DataFrame) -> DataFrame:
+    """The messages that silver leaves out, as they came, and why."""
+    return judged(bronze).where(F.col("reason").isNotNull()).select("json_data", "reason")
+
+
+def reject_counts(bronze: DataFrame) -> DataFrame:
+    """Messages left out, per reason."""
+    return rejects(bronze).groupBy("reason").agg(F.count("*").alias("n"))
+
+
 def add_features(transactions: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:
     amount, event_time = F.col("amount"), F.col("transaction_timestamp")
     return transactions.withColumns(

@@ -44,6 +44,12 @@ PAYLOAD = _schema(
     transaction_timestamp=StringType(),
 )
 
+# A text that was not read whole.
+UNREAD = _schema(unread=StringType())
+
+# Messages that silver leaves out.
+REJECTS = _schema(json_data=StringType(), reason=StringType())
+
 # The ledger accepts an amount written as a number or as text, so it is read as text and coerced.
 PAYLOAD_TEXT = StructType([StructField(f.name, StringType(), True) for f in PAYLOAD.fields])
 
