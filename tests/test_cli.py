@@ -108,3 +108,13 @@ def test_a_failed_query_stops_the_others(spark):
         cli.await_all(SimpleNamespace(streams=waited), [alive, dead])
     assert alive.stopped and dead.stopped
     cli.await_all(spark, [])
+
+
+def test_load_job(spark, lake, monkeypatch, capsys):
+    monkeypatch.setenv("TIDEMARK_JDBC_URL", "jdbc:derby:memory:loadjob;create=true")
+    monkeypatch.setenv("TIDEMARK_JDBC_DRIVER", "org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    create_ledger(spark, lake)
+    for rows_ in (1, 0):
+        cli.main(["load", "--root", lake.root, "--writers", "2"])
+        shown = capsys.readouterr().out
+        assert f"city_metrics_history: {rows_} rows of" in shown and "fraud_alerts: 0 rows" in shown

@@ -12,7 +12,7 @@ from tidemark.operators import ledger, monitor
 from tidemark.plans import dashboard, serving
 from tidemark.sinks import jdbc_append, write_batch
 from tidemark.sources import jdbc_high_water_mark, jdbc_recent, jdbc_table
-from tidemark.sources.jdbc import _quoted
+from tidemark.sources.jdbc import quoted
 from tidemark.streaming.ledger import create_ledger, write_ledger_batch
 
 T1, T2, T3, T4 = (f"2001-01-0{i} 00:00:00.123456" for i in (1, 2, 3, 4))
@@ -156,7 +156,7 @@ def test_trends_are_grouped_by_the_database(spark, target):
 
 
 def test_names_are_quoted_as_the_database_wants():
-    assert _quoted(JdbcTarget("jdbc:mysql://h/d"), "n") == "`n`" and _quoted(JdbcTarget("jdbc:postgresql:d"), "n") == '"n"'
+    assert quoted(JdbcTarget("jdbc:mysql://h/d"), "n") == "`n`" and quoted(JdbcTarget("jdbc:postgresql:d"), "n") == '"n"'
 
 
 def test_a_failing_table_does_not_stop_the_others(spark, target):

@@ -15,7 +15,7 @@ from tidemark.journal import MAX_BATCHES
 from tidemark.operators import monitor
 from tidemark.operators.snapshots import TIME
 from tidemark.operators.bronze import to_bronze
-from tidemark.plans import dashboard, maintenance, serving
+from tidemark.plans import dashboard, loading, maintenance, serving
 from tidemark.session import build_session
 from tidemark.sources import jdbc_recent, kafka_stream
 from tidemark.streaming import ProgressLog, bronze_stream, gold_stream, ledger_stream, rejects_stream, silver_stream
@@ -96,6 +96,14 @@ def run_backfill(spark, args):
     _report(serving.sync_all(spark, _served_tables(spark, args), JdbcTarget.from_env(), load=serving.backfill))
 
 
+def run_load(spark, args):
+    results = loading.load_all(spark, Paths(args.root), JdbcTarget.from_env(), args.adopt, args.writers)
+    for result in results:
+        print(f"{result.table}: {result.rows} rows of {result.files} files{f' ({result.error})' if result.error else ''}")
+    if any(result.error for result in results):
+        raise SystemExit(1)
+
+
 def run_compact(spark, args):
     paths = Paths(args.root)
     tables = {paths.history(d): schemas.gold(d) for d in DIMENSIONS}
@@ -173,6 +181,9 @@ def parser() -> argparse.ArgumentParser:
     job("ledger", run_ledger)
     job("sync", run_sync)
     job("backfill", run_backfill)
+    load = job("load", run_load)
+    load.add_argument("--adopt", action="store_true", help="the tables hold rows of sync or backfill; leave out keys they have")
+    load.add_argument("--writers", type=int, default=loading.WRITERS, help="connections that write at once")
     job("compact", run_compact)
     health = job("health", run_health)
     health.add_argument("--as-of")

@@ -15,7 +15,7 @@ def jdbc_table(spark: SparkSession, target: JdbcTarget, table: str) -> DataFrame
     return spark.read.jdbc(target.url, table, properties=target.properties)
 
 
-def _quoted(target: JdbcTarget, name: str) -> str:
+def quoted(target: JdbcTarget, name: str) -> str:
     """A name as it is written; MySQL's databases take double quotes for text unless told otherwise."""
     mark = "`" if target.url.startswith(("jdbc:mysql:", "jdbc:mariadb:")) else '"'
     return f"{mark}{name}{mark}"
@@ -36,7 +36,7 @@ def jdbc_summary(
 
     Aggregates over ``read.jdbc`` would fetch the whole column instead.
     """
-    n, latest, time = (_quoted(target, c) for c in ("n_rows", "latest_snapshot", column))
+    n, latest, time = (quoted(target, c) for c in ("n_rows", "latest_snapshot", column))
     query = f"SELECT COUNT(*) AS {n}, MAX({time}) AS {latest} FROM {table}"
     return jdbc_table(spark, target, f"({query}) summary")
 
@@ -45,7 +45,7 @@ def jdbc_recent(
     spark: SparkSession, target: JdbcTarget, table: str, column: str = "snapshot_time"
 ) -> DataFrame:
     """The rows of the two newest snapshots, chosen by the database."""
-    time = _quoted(target, column)
+    time = quoted(target, column)
     newest = f"SELECT MAX({time}) FROM {table}"
     before = f"{newest} WHERE {time} < ({newest})"
     query = f"SELECT * FROM {table} WHERE {time} >= COALESCE(({before}), ({newest}))"
@@ -59,8 +59,8 @@ def jdbc_trend(
 
     ``where`` holds plain values that columns must have; they are not escaped and must not come from users.
     """
-    time, name = _quoted(target, "snapshot_time"), _quoted(target, measure)
-    tests = " AND ".join(f"{_quoted(target, c)} = '{v}'" for c, v in (where or {}).items())
+    time, name = quoted(target, "snapshot_time"), quoted(target, measure)
+    tests = " AND ".join(f"{quoted(target, c)} = '{v}'" for c, v in (where or {}).items())
     condition = f" WHERE {tests}" if tests else ""
     return jdbc_table(
         spark, target, f"(SELECT {time}, SUM({name}) AS {name} FROM {table}{condition} GROUP BY {time}) trend"
