@@ -94,3 +94,31 @@ def test_query(spark, sf_dir):
         counts = Counter(i for g in set(zip(w, w[1:], w[2:])) for i in held.get(g, ()))
         expected += [(r["doc_id"], i) for i, n in counts.items() if n >= 0.6 * len(grams[i])]
     assert found(queries.queries()["op5_bm25_decontamination"](spark, sf_dir)) == sorted(expected) and expected
+
+
+def test_hits_of_an_item_do_not_hang_on_other_items(spark):
+    cut = ITEM.replace("? ", "? " + words(20, 15000) + " ", 1)
+    texts = docs(spark, cut, f"{words(21, 300)} {ITEM}")
+    alone = found(decontamination.leaks(texts, items(spark, ITEM)))
+    assert alone == [(1, 0)]
+    assert found(decontamination.leaks(texts, items(spark, ITEM, words(22, 20000)))) == alone
+
+
+def test_long_items_in_long_documents(spark):
+    long = [words(30 + k, n) for k, n in enumerate((64, 65, 128, 129, 1000))]
+    texts = [f"{words(40, 777)} {text} {words(41, 333)}" for text in long]
+    assert found(decontamination.leaks(docs(spark, *texts), items(spark, *long))) == [(k, k) for k in range(5)]
+
+
+def test_length_classes(spark):
+    made = decontamination.indexes(items(spark, *[words(50 + k, n) for k, n in enumerate((3, 64, 65, 128, 129, 256, 257))]))
+    assert [(i.stride, sorted(len(x.words) for x in i.items)) for i in made] == [
+        (64, [3, 64]), (128, [65, 128]), (256, [129, 256]), (512, [257])
+    ]
+
+
+def test_short_items_are_hit_by_documents_of_just_their_words(spark):
+    short = items(spark, "one", "yes or no", "one two three four five", words(60, 20000))
+    texts = docs(spark, f"{words(61, 40)} one {words(62, 9)}", "One.", "yes or no?", "yes or", "one two three four five six")
+    assert found(decontamination.leaks(texts, short)) == [(1, 0), (2, 1)]
+    assert {r["doc_id"] for r in decontamination.clean(texts, short).collect()} == {0, 3, 4}

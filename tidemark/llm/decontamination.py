@@ -4,19 +4,23 @@
 are divided by the score an item has against itself, so one threshold holds for all items. Items stand in blocks of
 ``BLOCK``; of each term the index also holds its greatest part in any item and in each block. An index takes at most
 ``INDEX_POSTINGS`` postings and is broadcast; more items make more indexes, which are asked one after the other.
-Document frequencies and lengths are those of all items.
+Document frequencies and lengths are those of all items. Items of one index are of one length class: up to ``STRIDE``
+words, up to twice as many, and so on. Small indexes of several classes are broadcast together and share one reading.
 
-**Queries.** A document is cut into passages of two strides, one stride apart, with a stride no shorter than any
-item; so an item that stands in a document stands whole in a passage. As in WAND, a passage goes on only if the greatest
+**Queries.** A document is cut into passages of two strides, one stride apart. The stride is the greatest length of the
+class, whichever items there are; so an item that stands in a document stands whole in a passage, and what is found of
+one item has the span of some four items at most (or of two times ``STRIDE`` words). As in WAND, a passage goes on only if the greatest
 parts of its terms could reach the threshold together; then, as in block-max WAND, only into blocks whose own
 greatest parts could; only there postings are read and summed. The tests run on all passages of a slice
 of documents at once.
 
 **Verification.** The first part of an item is taken as its question, the last ``ANSWER_SHARE`` as its answer: word
-three-grams of both must stand in the passage, each to the share ``OVERLAP``.
+three-grams of both must stand in the passage, each to the share ``OVERLAP``. An item of fewer than ``SHORT`` words has no
+such parts: it is hit by a document of just its words, and not by others that hold them.
 
 Null and empty texts hit nothing; items without words are never hit. Repeated items and rows are reported
-once each.
+once each. Of passages of one document that hit an item equally, the last is reported. Very long texts are read whole, in
+slices of words. Empty tables give an empty result. Columns besides id and text are not read; ``clean`` keeps them.
 """
 
 from __future__ import annotations
@@ -38,6 +42,7 @@ OVERLAP = 0.6
 ANSWER_SHARE = 1 / 3
 NGRAM = 3
 STRIDE = 64
+SHORT = 2 * NGRAM
 BLOCK = 16
 INDEX_POSTINGS = 1_000_000
 
@@ -62,14 +67,29 @@ def _grams(words: np.ndarray) -> np.ndarray:
     return np.unique(Prefix(words).spans(start, start + n))
 
 
+def length_class(n: int) -> int:
+    """The least of ``STRIDE`` and its doubles that is no less than a number of words."""
+    return STRIDE << max(0, (n - 1) // STRIDE).bit_length()
+
+
 class Index:
-    """Postings of some items. ``rows_with`` maps a term to the number of items that have it, of all ``n_items``."""
+    """Postings of some items, of one length class.
+
+    ``rows_with`` maps a term to the number of items that have it, of all ``n_items``. Short items have no postings; they are
+    looked up by all their words.
+    """
 
     def __init__(self, items: list[Item], rows_with: dict[int, int], n_items: int, mean_length: float):
         self.items = items
-        self.stride = max([STRIDE, *(len(i.words) for i in items)])
+        self.stride = max([STRIDE, *(length_class(len(i.words)) for i in items)])
+        self.short: dict[tuple, list[int]] = {}
+        for k, one in enumerate(items):
+            if len(one.words) < SHORT:
+                self.short.setdefault(tuple(one.words.tolist()), []).append(k)
         term, item, part = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         for k, one in enumerate(items):
+            if len(one.words) < SHORT:
+                continue
             terms, times = np.unique(one.words, return_counts=True)
             df = np.array([rows_with[t] for t in terms.tolist()], float)
             idf = np.log1p((n_items - df + 0.5) / (df + 0.5))
@@ -164,30 +184,37 @@ def search(index: Index, found: Words, hashes: np.ndarray, threshold: float):
     return passage, item, score[hit], stride_document, start, end
 
 
-def hits(index: Index, column, threshold: float = THRESHOLD, overlap: float = OVERLAP):
-    """Verified hits in a text column: (row, item number, score, question overlap, answer overlap, word start, end),
+def hits(group: list[Index], column, threshold: float = THRESHOLD, overlap: float = OVERLAP):
+    """Verified hits in a text column: (row, item id, score, question overlap, answer overlap, word start, end),
     the best passage of each row and item."""
-    best: dict[tuple[int, int], tuple] = {}
-    grams: dict[int, tuple] = {}
+    best: dict[tuple[int, int, int], tuple] = {}
+    grams: dict[tuple[int, int], tuple] = {}
     for lo, _hi, found in sliced_words(pc.utf8_lower(column), WORD_BYTES):
         hashes = found.hashes(0)
-        passage, item, score, document, start, end = search(index, found, hashes, threshold)
-        for p, k, s in zip(passage.tolist(), item.tolist(), score.tolist()):
-            if k not in grams:
-                grams[k] = index.items[k].grams()
-            words = hashes[start[p] : end[p]]
-            by_length = {}
-            shares = []
-            for part in grams[k]:
-                n = min(NGRAM, len(words))
-                if n not in by_length:
-                    by_length[n] = _grams(words)
-                shares.append(_share(part, words, by_length[n]))
-            if min(shares) >= overlap:
-                row = (min(shares), s, *shares, int(start[p] - found.first[document[p]]), int(end[p] - found.first[document[p]]))
-                key = (lo + int(document[p]), k)
+        for g, index in enumerate(group):
+            for key, row in _hits(index, found, hashes, threshold, overlap, g, grams):
+                key = (lo + key[0], g, key[1])
                 best[key] = max(best.get(key, row), row)
-    return [(r, k, *row[1:]) for (r, k), row in sorted(best.items())]
+    return [(r, group[g].items[k].item_id, *row[1:]) for (r, g, k), row in sorted(best.items())]
+
+
+def _hits(index: Index, found: Words, hashes: np.ndarray, threshold: float, overlap: float, g: int, grams: dict):
+    passage, item, score, document, start, end = search(index, found, hashes, threshold)
+    for p, k, s in zip(passage.tolist(), item.tolist(), score.tolist()):
+        if (g, k) not in grams:
+            grams[g, k] = index.items[k].grams()
+        words = hashes[start[p] : end[p]]
+        own = _grams(words)
+        shares = [_share(part, words, own) for part in grams[g, k]]
+        if min(shares) >= overlap:
+            d = int(document[p])
+            first = found.first[d]
+            yield (d, k), (min(shares), s, *shares, int(start[p] - first), int(end[p] - first))
+    if index.short:
+        for d in np.flatnonzero((found.counts > 0) & (found.counts < SHORT)).tolist():
+            words = hashes[found.first[d] : found.first[d + 1]]
+            for k in index.short.get(tuple(words.tolist()), ()):
+                yield (d, k), (1.0, 1.0, 1.0, 1.0, 0, len(words))
 
 
 def _share(part: np.ndarray, words: np.ndarray, grams: np.ndarray) -> float:
@@ -225,15 +252,19 @@ def indexes(items: DataFrame) -> list[Index]:
         items.select("item_id", "text").mapInArrow(run, f"item_id {kind}, words array<long>").where("size(words) > 0"),
         "items",
     )
-    n, mean, postings = table.agg(F.count(F.lit(1)), F.avg(F.size("words")), F.sum(F.size("words"))).first()
+    n, mean = table.agg(F.count(F.lit(1)), F.avg(F.size("words"))).first()
     if not n:
         return []
     terms = table.select("item_id", F.explode(F.array_distinct("words")).alias("term"))
     rows_with = written(terms.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "terms")
-    shards = 1 + postings // INDEX_POSTINGS
+    last = F.floor((F.size("words") - 1) / STRIDE)
+    sized = table.withColumn("class", F.when(last < 1, 0).otherwise(F.length(F.bin(last))))
+    classes = sized.groupBy("class").agg(F.sum(F.size("words")).alias("postings")).orderBy("class").collect()
+    parts = [(c["class"], 1 + c["postings"] // INDEX_POSTINGS, k) for c in classes for k in range(1 + c["postings"] // INDEX_POSTINGS)]
     made = []
-    for shard in range(shards):
-        own = table.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(shards)) == shard)
+    for of, shards, shard in parts:
+        here = F.pmod(F.xxhash64("item_id", "words"), F.lit(shards)) == shard
+        own = sized.where((F.col("class") == of) & here).drop("class")
         used = own.select(F.explode("words").alias("term")).distinct()
         known = {r["term"] % (1 << 64): r["n"] for r in rows_with.join(used, "term", "left_semi").collect()}
         rows = sorted(own.collect(), key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["words"]))
@@ -241,6 +272,19 @@ def indexes(items: DataFrame) -> list[Index]:
     return made
 
 
+def groups(made: list[Index]) -> list[list[Index]]:
+    """Indexes to be broadcast together, of at most ``INDEX_POSTINGS`` postings or one index."""
+    found: list[list[Index]] = []
+    held = 0
+    for index in made:
+        if not found or held + len(index.item) > INDEX_POSTINGS:
+            found.append([])
+            held = 0
+        found[-1].append(index)
+        held += len(index.item)
+    return found
+
+
 HITS = (
     "score double, question_overlap double, answer_overlap double, passage_start long, passage_end long"
 )
@@ -254,15 +298,14 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overl
     names = [part.split()[0] for part in HITS.split(", ")]
     rows = docs.select("doc_id", "text")
     result = docs.sparkSession.createDataFrame([], schema)
-    for index in indexes(items):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for group in groups(indexes(items)):
+        shared = docs.sparkSession.sparkContext.broadcast(group)
 
         def run(batches, shared=shared):
             for batch in batches:
                 found = hits(shared.value, batch.column("text"), threshold, overlap)
                 if found:
-                    row, item, *rest = zip(*found)
-                    ids = [shared.value.items[k].item_id for k in item]
+                    row, ids, *rest = zip(*found)
                     columns = [batch.column("doc_id").take(pa.array(row)), pa.array(ids)]
                     yield pa.RecordBatch.from_arrays(columns + [pa.array(c) for c in rest], ["doc_id", "item_id", *names])
 
@@ -272,8 +315,8 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overl
 
 def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no item."""
-    for index in indexes(items):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for group in groups(indexes(items)):
+        shared = docs.sparkSession.sparkContext.broadcast(group)
 
         def run(batches, shared=shared):
             for batch in batches:
