@@ -6,7 +6,7 @@ from corpus_helpers import table
 from pyspark.sql import functions as F
 
 from tidemark.llm import quality, queries, toxicity
-from tidemark.llm.labelled import fit_logistic
+from tidemark.llm.labelled import FIT_BYTES, fit_logistic, fit_sample
 from tidemark.llm.words import WORD_BYTES
 from tidemark.llm.words import words as split
 
@@ -109,3 +109,23 @@ def test_logistic():
 
 def test_few_samples_make_a_dictionary():
     assert quality.dictionary([b"abc", b"def"])
+
+
+def test_fit_sample_is_bounded_by_texts(spark):
+    """Repeated ids, long and missing documents neither swell the sample nor take places in it."""
+    long = "w " * FIT_BYTES
+    rows = [(i, long) for i in range(40)] + [(100, f"copy {i % 3}") for i in range(300)] + [(i, f"t{i}") for i in range(101, 130)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = [(i, i % 2) for i in [*range(40), *range(100, 130), *range(500, 540)]] + [(100, 0), (100, 0), (101, 1), (101, 0)]
+    labels = spark.createDataFrame(known, "doc_id long, toxic int")
+
+    def learnable(i):
+        return zlib.crc32(str(i).encode()) % 4 != 2
+
+    all_of, counts = fit_sample(docs, labels, "toxic", 4, 2, {0: 1000, 1: 1000})
+    expected = {(i, "copy 0" if i == 100 else f"t{i}", y) for i, y in known if 100 <= i < 130 and learnable(i)}
+    assert sorted(zip(all_of["doc_id"], all_of["text"], all_of["label"])) == sorted(expected)
+    assert counts == {y: len({i for i, v in known if v == y and learnable(i)}) for y in (0, 1)}
+    few, _ = fit_sample(docs, labels, "toxic", 4, 2, {0: 3, 1: 5})
+    assert few["label"].value_counts().to_dict() == {0: 3, 1: 5}
+    assert set(zip(few["doc_id"], few["label"])) <= {(i, y) for i, _t, y in expected}

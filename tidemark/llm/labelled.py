@@ -16,22 +16,29 @@ FIT_BYTES = 64 << 10
 def fit_sample(
     docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, rows: dict[int, int]
 ) -> tuple[pd.DataFrame, dict[int, int]]:
-    """Texts with their label, at most ``rows[label]`` per label by the hash of the id; and all learnable rows per class.
+    """One text per document and its label, at most ``rows[label]`` per label by the hash of the id; and the number of
+    learnable documents per class.
 
-    Rows whose crc32(id) modulo ``modulus`` is ``held_out`` are not learned from, nor null labels.
+    Rows whose crc32(id) modulo ``modulus`` is ``held_out`` are not learned from, nor null labels. Repeated label rows
+    count once; an id with both labels counts in both classes. Only ids that have a text of at most ``FIT_BYTES`` take a
+    place in the sample; of several such texts with one id the least is learned from.
     """
-    known = labels.where(F.col(label).isin(0, 1) & (remainder("doc_id", modulus) != held_out)).select(
-        "doc_id", F.col(label).cast("int").alias("label")
+    known = (
+        labels.where(F.col(label).isin(0, 1) & (remainder("doc_id", modulus) != held_out))
+        .select("doc_id", F.col(label).cast("int").alias("label"))
+        .distinct()
     )
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    texts = docs.select("doc_id", "text").where(F.octet_length("text") <= FIT_BYTES)
+    present = known.join(texts.select("doc_id"), "doc_id", "left_semi")
     ids = None
     for value in (0, 1):
-        own = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows[value])
+        own = present.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows[value])
         ids = own if ids is None else ids.unionAll(own)
-    # At most ``rows[0] + rows[1]`` ids are broadcast, and as many texts come back.
-    texts = docs.select("doc_id", "text").where(F.octet_length("text") <= FIT_BYTES)
-    found = texts.join(F.broadcast(ids), "doc_id").toPandas()
-    found = found.sort_values(["doc_id", "text"], kind="stable").reset_index(drop=True)
+    # At most ``rows[0] + rows[1]`` ids are broadcast, and as many texts of bounded length come back.
+    chosen = texts.join(F.broadcast(ids), "doc_id")
+    found = chosen.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label").toPandas()
+    found = found.sort_values(["doc_id", "text", "label"], kind="stable").reset_index(drop=True)
     return found, counts
 
 
