@@ -129,3 +129,7 @@ def test_fit_sample_is_bounded_by_texts(spark):
     few, _ = fit_sample(docs, labels, "toxic", 4, 2, {0: 3, 1: 5})
     assert few["label"].value_counts().to_dict() == {0: 3, 1: 5}
     assert set(zip(few["doc_id"], few["label"])) <= {(i, y) for i, _t, y in expected}
+
+
+def test_more_toxic_rows_admit_rarer_forms():
+    assert [toxicity.enough_contexts(n) for n in (0, 100, 400, 800, 2000, 50_000)] == [3, 3, 6, 12, 12, 12]

@@ -31,15 +31,16 @@ from tidemark.llm.words import WORD_BYTES, Words, mix, sliced_words
 MODULUS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 # The fit takes at most so many labelled rows, toxic and clean.
-FIT_ROWS = 800
+FIT_ROWS = 2000
 FIT_CLEAN_ROWS = 3200
 BUCKETS = 1 << 20
 # Lengths in bytes of the word beginnings that are features, beside the whole word.
 BEGINNINGS = (4, 5, 6, 7, 8)
-# A lexicon entry stands before so many different words in toxic documents, also as a share of those documents, and its
-# odds are so many times the labels' odds.
+# A lexicon entry stands before so many different words in toxic documents, and its odds are so many times the labels'
+# odds. Up to LEXICON_ENOUGH words the bar is also a share of those documents; beyond it does not rise with the sample.
 LEXICON_ROWS = 3
 LEXICON_SHARE = 0.015
+LEXICON_ENOUGH = 12
 LEXICON_ODDS = 12.0
 STEPS = 60
 CHAIN = 64
@@ -163,7 +164,12 @@ def lexicon(texts: pd.Series, toxic: np.ndarray, weights: np.ndarray) -> np.ndar
     clean, bad = by_label[0] * scale[0], by_label[1] * scale[1]
     odds = scale[1] * (toxic == 1).sum() / (scale[0] * (toxic == 0).sum())
     sure = (bad + 1e-9) / (clean + 0.1 * scale[0]) >= LEXICON_ODDS * odds
-    return np.flatnonzero(sure & (contexts >= max(LEXICON_ROWS, LEXICON_SHARE * (toxic == 1).sum())))
+    return np.flatnonzero(sure & (contexts >= enough_contexts((toxic == 1).sum())))
+
+
+def enough_contexts(toxic_rows: int) -> float:
+    """The number of different following words that make an entry."""
+    return min(max(LEXICON_ROWS, LEXICON_SHARE * toxic_rows), LEXICON_ENOUGH)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, clean_rows: int = FIT_CLEAN_ROWS) -> Model:
