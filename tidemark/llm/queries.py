@@ -115,6 +115,90 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: _ready(query) for query in _QUERIES} | {"pipeline": _ready(corpus_pipeline.run)}
 
 
+_OP1_SQL = r"""
+WITH listed AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), places AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM listed
+), starts AS (
+  SELECT doc_id, p, array_to_string(w[p:p + 49], ' ') AS run
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM listed) every_window
+), firsts AS (
+  SELECT run, min(doc_id) AS doc_id FROM starts GROUP BY run
+), later AS (
+  SELECT s.doc_id, s.p FROM starts s JOIN firsts f ON f.run = s.run WHERE f.doc_id < s.doc_id
+), judged AS (
+  SELECT a.doc_id, a.word, a.p,
+         count(l.p) OVER (PARTITION BY a.doc_id ORDER BY a.p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) > 0 AS gone
+  FROM places a LEFT JOIN later l ON l.doc_id = a.doc_id AND l.p = a.p
+), kept AS (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed,
+         string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT gone) AS kept_text
+  FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+       sha256(coalesce(k.kept_text, '')) AS kept_sha256
+FROM listed d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+_OP3_SQL = r"""
+WITH RECURSIVE doubles AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), judged AS (
+  SELECT vec_id, v, coalesce(CASE WHEN len(v) = len(list_filter(v, lambda x: isfinite(x)))
+                                  THEN list_dot_product(v, v) > 0 END, false) AS usable
+  FROM doubles
+), units AS (
+  SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS norm FROM judged WHERE usable
+), pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM units a JOIN units b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.9
+), reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM doubles
+  UNION
+  SELECT r.vec_id, p.b FROM reach r JOIN pairs p ON p.a = r.other
+), counted AS (
+  SELECT a AS vec_id, count(*) AS n_links FROM pairs GROUP BY a
+), least AS (
+  SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id
+)
+SELECT l.vec_id, coalesce(c.n_links, 0) AS n_links, l.component_id, l.vec_id = l.component_id AS kept
+FROM least l LEFT JOIN counted c ON c.vec_id = l.vec_id
+"""
+
+_OP8_SQL = r"""
+WITH RECURSIVE listed AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_sort(list_distinct(
+           CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s
+  FROM listed
+), nodes AS (
+  SELECT min(doc_id) AS node, s, len(s) AS size, count(*) AS copies FROM sets WHERE len(s) > 0 GROUP BY s
+), grams AS (
+  SELECT node, size, unnest(s) AS gram FROM nodes
+), pairs AS (
+  SELECT a.node AS a, b.node AS b
+  FROM grams a JOIN grams b ON a.gram = b.gram AND a.node <> b.node
+  GROUP BY a.node, b.node, a.size, b.size
+  HAVING 10 * count(*) >= 8 * (a.size + b.size - count(*))
+), reach(node, other) AS (
+  SELECT node, node FROM nodes
+  UNION
+  SELECT r.node, p.b FROM reach r JOIN pairs p ON p.a = r.other
+), least AS (
+  SELECT node, min(other) AS class_id FROM reach GROUP BY node
+), linked AS (
+  SELECT p.a AS node, sum(n.copies) AS links FROM pairs p JOIN nodes n ON n.node = p.b GROUP BY p.a
+)
+SELECT d.doc_id, coalesce(l.class_id, d.doc_id) AS class_id,
+       CAST(coalesce(k.links, 0) + coalesce(n.copies - 1, 0) AS BIGINT) AS n_links
+FROM sets d LEFT JOIN nodes n ON n.s = d.s AND len(d.s) > 0
+            LEFT JOIN least l ON l.node = n.node LEFT JOIN linked k ON k.node = n.node
+"""
+
 _OP11_SQL = r"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
@@ -206,4 +290,10 @@ FROM ranked WHERE rank <= 2000
 
 def oracle_sql() -> dict[str, str]:
     """For the queries that are SQL; fits and tokenizers are not, and the tests hold those queries against brute force."""
-    return {"op11_prefix_mix": _OP11_SQL, "op12_automaton_collocations": _OP12_SQL}
+    return {
+        "op1_recompression_dedup": _OP1_SQL,
+        "op3_pca_tiled_dedup": _OP3_SQL,
+        "op8_minhash_join": _OP8_SQL,
+        "op11_prefix_mix": _OP11_SQL,
+        "op12_automaton_collocations": _OP12_SQL,
+    }
