@@ -143,13 +143,12 @@ FROM listed d LEFT JOIN kept k ON k.doc_id = d.doc_id
 
 _OP3_SQL = r"""
 WITH RECURSIVE doubles AS (
-  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS given FROM embeddings
 ), judged AS (
-  SELECT vec_id, v, coalesce(CASE WHEN len(v) = len(list_filter(v, lambda x: isfinite(x)))
-                                  THEN list_dot_product(v, v) > 0 END, false) AS usable
-  FROM doubles
+  SELECT vec_id, given, list_filter(given, lambda x: isfinite(x)) AS v FROM doubles
 ), units AS (
-  SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS norm FROM judged WHERE usable
+  SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS norm FROM judged
+  WHERE len(v) = len(given) AND list_dot_product(v, v) > 0
 ), pairs AS (
   SELECT a.vec_id AS a, b.vec_id AS b
   FROM units a JOIN units b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
