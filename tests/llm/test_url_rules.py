@@ -142,3 +142,31 @@ def test_urls_of_many_tokens_and_repeated_labels(spark):
     start = time.monotonic()
     rules, _ = url_rules.mine(spark.createDataFrame(chain, "tokens array<string>, bad boolean"))
     assert rules.count() and time.monotonic() - start < 120
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_long_baskets_are_mined_whole(spark, seed):
+    """The rules are those of brute force at any bound of the baskets for FP-growth."""
+    random = Random(seed)
+    sets = [{t for t in "abcdefg" if random.random() < 0.6} for _ in range(70)]
+    rows = [(sorted(s), random.random() < (0.9 if "efg" <= "".join(sorted(s & set("efg"))) else 0.4)) for s in sets if s]
+    brute = brute_rules(rows, 3, 0.5)
+    minimal = {p: c for p, c in brute.items() if not any(set(q) < set(p) and brute[q] >= c for q in brute)}
+    assert max(map(len, minimal)) > 2
+    labelled = spark.createDataFrame(rows, "tokens array<string>, bad boolean")
+    for max_items in (1, 3, 10):
+        rules, members = url_rules.mine(labelled, 0.001, 3, 0.5, max_items)
+        assert all(r["token"] == r["item"] for r in members.collect())
+        assert {tuple(r["rule_tokens"]): r["confidence"] for r in rules.collect()} == minimal
+
+
+def test_a_rule_beyond_the_ten_surest_items_of_a_page(spark):
+    """Two items that say little alone and all together, beside twelve that say more alone."""
+    loud = [f"l{i:02}" for i in range(12)]
+    rows = [([*loud[:i], *loud[i + 1 :], "y", "z"], True) for i in range(12)] + [([x], False) for x in loud]
+    rows += [([x], False) for x in "yz" for _ in range(20)]
+    rules, _ = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"))
+    found = {tuple(r["rule_tokens"]): (r["confidence"], r["rows"]) for r in rules.collect()}
+    assert found["y", "z"] == (1.0, 12) and found["l00", "l01"] == (1.0, 10)
+    wide = spark.createDataFrame([(["new", "y", "z"],), (["new", "y"],)], "tokens array<string>")
+    assert [r["tokens"] for r in url_rules.fired(wide, url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"))).collect()] == [["new", "y", "z"]]

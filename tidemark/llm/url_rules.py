@@ -6,12 +6,14 @@ among bad pages; a combination that implies the bad label with enough confidence
 rule. A rule is posted in an inverted index under its rarest token; a URL's token set looks up its tokens and
 keeps the rules that it contains whole.
 
-**Bounded mining.** A basket of k items has 2^k combinations, so a basket is made small before it is mined. Tokens of
+**Whole mining.** A basket of k items has 2^k combinations, so a basket is made small before it is mined. Tokens of
 too few bad pages can be in no rule. Tokens that stand in the same labelled pages are one *item*, which a URL holds if
-it holds any of them. An item whose pages are all bad is a rule by itself, and combinations with it say no more. Of
-what is left, the ``MAX_ITEMS`` items of a page that point most to bad pages take part in combinations; every item
-takes part as a rule of its own. So there are at most 2^MAX_ITEMS / support combinations, at any number of pages.
-Found combinations are counted anew over all labelled pages and all their tokens, so support and confidence are exact.
+it holds any of them. An item whose pages are all bad is a rule by itself, and combinations with it say no more. If no
+bad page is left with more than ``MAX_ITEMS`` items, FP-growth finds the combinations: at most 2^MAX_ITEMS of a page.
+Otherwise they grow level by level in joins (``_grown``), where a combination is given up, with all that contain it,
+as soon as a part of it is as sure; that finds the same rules in baskets of any length. No item or combination is left
+out by a limit, so URLs whose many items come and go freely, in good pages as in bad ones, can make as many
+combinations as there are. Support and confidence are exact: counted over all labelled pages and all their tokens.
 
 A URL that is null or has no ``://`` has an empty host, an empty path and no tokens, fits no rule, and is allowed.
 Without labelled pages, or where no combination is confident enough, no rule is mined and the rest is allowed; a null
@@ -23,6 +25,7 @@ label counts once, as bad if any of its rows says so. Empty tables give an empty
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
@@ -87,7 +90,7 @@ def mine(
     Rules: rule_tokens (items), anchor, confidence, support, rows. Items: token, item; an item is named by its least token.
 
     A rule needs the confidence, the support (share of the labelled rows) and ``min_rows`` bad rows. A rule goes where
-    a part of it is a rule already with no less confidence.
+    a part of it is a rule already with no less confidence. ``max_items``: the longest basket for FP-growth.
     """
     labelled = written(labelled.select("tokens", F.col("bad").cast("long").alias("bad")), "labelled")
     sets = written(labelled.groupBy("tokens").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")), "token_sets")
@@ -120,27 +123,26 @@ def mine(
         in_sets.select(
             "tokens",
             F.transform("found", lambda x: x["place"]["item"]).alias("items"),
-            F.slice(F.transform(F.filter("found", lambda x: x["open"]), lambda x: x["place"]["item"]), 1, max_items).alias("basket"),
+            F.transform(F.filter("found", lambda x: x["open"]), lambda x: x["place"]["item"]).alias("basket"),
             F.col("set_n").alias("n"),
             F.col("set_bad").alias("bad"),
+            F.monotonically_increasing_id().alias("set_id"),
         ),
         "item_sets",
     )
     counted = items.select(F.array("item").alias("rule_tokens"), F.col("item").alias("anchor"), "n", "bad")
     mixed = F.size("basket") > 1
-    rows = item_sets.where(mixed).agg(F.coalesce(F.sum("bad"), F.lit(0))).first()[0]
-    if rows >= need:
+    widest = F.max(F.when(F.col("bad") > 0, F.size("basket")))
+    rows, widest = item_sets.where(mixed).agg(F.coalesce(F.sum("bad"), F.lit(0)), widest).first()
+    if rows >= need and widest <= max_items:
         baskets = labelled.where("bad = 1").join(item_sets.where(mixed).select("tokens", "basket"), "tokens").select("basket")
         model = FPGrowth(itemsCol="basket", minSupport=(need - 0.5) / rows).fit(baskets)
         combined = model.freqItemsets.where(F.size("items") > 1).select(F.array_sort("items").alias("rule_tokens"))
-        rarest = (
-            combined.select("rule_tokens", F.explode("rule_tokens").alias("item"))
-            .join(items, "item")
-            .groupBy("rule_tokens")
-            .agg(F.min_by("item", F.struct("n", "item")).alias("anchor"))
-        )
-        found = _contained(item_sets.select("items", "n", "bad"), "items", written(rarest, "combinations"))
+        found = _contained(item_sets.select("items", "n", "bad"), "items", written(_anchored(combined, items), "combinations"))
         counted = counted.unionByName(found.groupBy("rule_tokens", "anchor").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
+    elif rows >= need:
+        grown = _grown(item_sets.where(mixed), items.where("bad < n"), need)
+        counted = counted.unionByName(grown.join(_anchored(grown, items), "rule_tokens"))
     rules = counted.select("rule_tokens", "anchor", (F.col("bad") / F.col("n")).alias("confidence"), "bad")
     rules = written(rules.where((F.col("bad") >= need) & (F.col("confidence") >= min_confidence)), "rules")
     wholes = rules.select(F.col("rule_tokens").alias("whole"), F.col("confidence").alias("own"))
@@ -156,6 +158,56 @@ def mine(
     return written(kept, "index"), members.select("token", "item")
 
 
+def _grown(item_sets: DataFrame, items: DataFrame, need: int) -> DataFrame:
+    """Combinations of at least ``need`` bad rows that can be a rule to keep, from baskets of any length: rule_tokens, n, bad.
+
+    Combinations that differ in their last items make the next longer ones. One is given up, and no longer one made of it,
+    if too few bad rows hold it, or if leaving an item out adds no good row: the part then has no fewer bad rows and
+    is as sure, here and in all longer ones. One without a good row is kept, but nothing longer can be surer.
+    """
+    good = F.col("n") - F.col("bad")
+    parts = items.select(F.array("item").alias("part"), good.alias("part_good"))
+    first = item_sets.select("set_id", "n", "bad", F.array().cast("array<string>").alias("prefix"), F.explode("basket").alias("last"))
+    holders, levels = written(first, "holders"), []
+    while True:
+        others = holders.select("set_id", "prefix", F.col("last").alias("next"))
+        longer = (
+            holders.join(others, ["set_id", "prefix"])
+            .where("last < next")
+            .select("set_id", "n", "bad", F.concat("prefix", F.array("last")).alias("prefix"), F.col("next").alias("last"))
+        )
+        counted = longer.groupBy("prefix", "last").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where(F.col("bad") >= need)
+        counted = written(counted.withColumn("rule_tokens", F.concat("prefix", F.array("last"))), "counted")
+        # Items are distinct, so this leaves out one at a time.
+        without = F.transform("rule_tokens", lambda x: F.array_remove("rule_tokens", x))
+        surer = (
+            counted.select("rule_tokens", good.alias("good"), F.explode(without).alias("part"))
+            .join(parts, "part")
+            .where("good < part_good")
+            .groupBy("rule_tokens")
+            .agg(F.count(F.lit(1)).alias("parts"))
+            .where(F.col("parts") == F.size("rule_tokens"))
+        )
+        kept = written(counted.join(surer.select("rule_tokens"), "rule_tokens"), "level")
+        levels.append(kept.select("rule_tokens", "n", "bad"))
+        going_on = kept.where("bad < n")
+        # These have len(levels) + 1 items; a longer one has one part more than that.
+        if going_on.count() < len(levels) + 2:
+            return reduce(DataFrame.unionByName, levels)
+        parts = going_on.select(F.col("rule_tokens").alias("part"), good.alias("part_good"))
+        holders = written(longer.join(going_on.select("prefix", "last"), ["prefix", "last"], "left_semi"), "holders")
+
+
+def _anchored(combined: DataFrame, items: DataFrame) -> DataFrame:
+    """Combinations with their rarest item: rule_tokens, anchor."""
+    return (
+        combined.select("rule_tokens", F.explode("rule_tokens").alias("item"))
+        .join(items, "item")
+        .groupBy("rule_tokens")
+        .agg(F.min_by("item", F.struct("n", "item")).alias("anchor"))
+    )
+
+
 def _contained(holders: DataFrame, items: str, rules: DataFrame) -> DataFrame:
     """Pairs of a holder and a rule that its array ``items`` contains whole, found by the rule's anchor."""
     looked_up = holders.withColumn("anchor", F.explode(items)).join(rules, "anchor")
