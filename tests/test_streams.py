@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixtures, journal, schemas, streaming
 from tidemark.operators import gold, ledger, silver
+from tidemark.session import ROCKSDB, STATE_MEMORY_MB
 from tidemark.sources import batch_table, parquet_stream
 from tidemark.streaming.ledger import create_ledger, write_ledger_batch
 from tidemark.streaming.progress import summarise
@@ -166,6 +167,30 @@ def test_ledger_stream_across_batches_and_restarts(spark, paths):
     )
 
 
+@pytest.mark.parametrize("own", [None, "64"])
+def test_state_partitions_share_bounded_memory(spark, paths, monkeypatch, own):
+    from tidemark.streaming import ledger as module
+
+    prefix, seen, write = "spark.sql.streaming.stateStore", [], module.write_first_seen
+    if own:
+        spark.conf.set(f"{prefix}.rocksdb.maxMemoryUsageMB", own)
+
+    def noted(batch, *args):
+        conf = batch.sparkSession.conf
+        names = ("providerClass", "rocksdb.boundedMemoryUsage", "rocksdb.maxMemoryUsageMB")
+        seen.append([conf.get(f"{prefix}.{name}", None) for name in names])
+        write(batch, *args)
+
+    monkeypatch.setattr(module, "write_first_seen", noted)
+    try:
+        fixtures.write_bronze(messages(spark, payload("a", 1.0), payload("b", 2.0)), paths.bronze)
+        run_ledger(spark, paths)
+    finally:
+        spark.conf.unset(f"{prefix}.rocksdb.maxMemoryUsageMB")
+    assert seen and all(s == [ROCKSDB, "true", own or str(STATE_MEMORY_MB)] for s in seen)
+    assert spark.conf.get(f"{prefix}.rocksdb.boundedMemoryUsage", None) is None
+
+
 def test_a_trigger_reads_nothing_of_its_own_ledger(spark, paths, monkeypatch):
     """The state knows the ids: a stream that is alone compares with no table."""
     from tidemark.streaming import ledger as module

@@ -18,6 +18,9 @@ SETTINGS = {
 # State store for queries whose state can outgrow the heap.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# What all state partitions on an executor share: write buffers, cached blocks, indexes and filters.
+STATE_MEMORY_MB = 256
+
 
 def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -45,6 +48,16 @@ def settings(spark: SparkSession, **values: str):
                 spark.conf.set(name, value)
 
 
+def state_store(spark: SparkSession) -> dict[str, str]:
+    """Settings for state in RocksDB, of bounded memory; the session's own bound goes first.
+
+    Without them every open partition has a cache and buffers of its own, and tables' indexes outside of these.
+    """
+    prefix = "spark.sql.streaming.stateStore"
+    bound = {f"{prefix}.rocksdb.boundedMemoryUsage": "true", f"{prefix}.rocksdb.maxMemoryUsageMB": str(STATE_MEMORY_MB)}
+    return {f"{prefix}.providerClass": ROCKSDB} | {name: spark.conf.get(name, value) for name, value in bound.items()}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints; a local one only where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -19,7 +19,7 @@ from tidemark import journal, layout, schemas
 from tidemark.config import DIMENSIONS, TOP_N, Paths
 from tidemark.functions.timing import utc
 from tidemark.operators import gold
-from tidemark.session import ROCKSDB, settings
+from tidemark.session import settings, state_store
 from tidemark.sinks import create_table, write_batch
 from tidemark.sources import parquet_table
 from tidemark.streaming.identity import query_id
@@ -82,7 +82,7 @@ def gold_stream(
         spark,
         spark__sql__shuffle__partitions=str(state_partitions),
         # Values are free text: state outside the heap, with changes only in each trigger's files.
-        spark__sql__streaming__stateStore__providerClass=ROCKSDB,
+        **state_store(spark),
     ):
         return writer.start()
 

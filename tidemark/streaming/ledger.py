@@ -18,7 +18,7 @@ from tidemark import schemas
 from tidemark.config import FraudRules, Paths
 from tidemark.operators import ledger
 from tidemark.operators.ledger import ARRIVAL_ORDER
-from tidemark.session import ROCKSDB, settings
+from tidemark.session import settings, state_store
 from tidemark.sinks import create_table, write_batch
 from tidemark.sources import batch_table, parquet_table
 from tidemark.streaming.identity import query_id
@@ -124,5 +124,5 @@ def ledger_stream(
     if trigger:
         writer = writer.trigger(**trigger)
     # The number of state partitions is the session's at the first start, for good: size it for all ids to come.
-    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+    with settings(spark, **state_store(spark)):
         return writer.start()
