@@ -1,3 +1,6 @@
+from pathlib import Path
+from urllib.parse import urlparse
+
 import numpy as np
 from corpus_helpers import table
 from pyspark.sql import functions as F
@@ -71,3 +74,40 @@ def test_repeated_ids_with_other_vectors(spark):
     rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [0.0, 1.0]), (2, None), (3, [0.0, 1.0]), (4, [1.0, 0.0])]
     found = embedding_dedup.classes(vectors(spark, rows)).select("vec_id", "n_links", "component_id").collect()
     assert sorted(map(tuple, found)) == [(1, 2, 1), (2, 0, 2), (2, 1, 2), (2, 2, 1), (3, 1, 2), (4, 2, 1)]
+
+
+def test_disk_does_not_grow_with_the_tiles(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "TILE", 64)
+    plans, sizes, write = {}, {}, embedding_dedup.written
+
+    def noted(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        found = write(df, label)
+        sizes[label] = sum(Path(urlparse(f).path).stat().st_size for f in found.inputFiles())
+        return found
+
+    monkeypatch.setattr(embedding_dedup, "written", noted)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1500, 48)).astype(np.float32)
+    x[700:730] = x[700] + rng.normal(size=(30, 48)) * 0.05
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    assert as_dict(embedding_dedup.classes(vectors(spark, rows))) == brute(rows)
+    assert "MapInArrow" in plans["links"] and "Exchange" not in plans["links"]
+    assert sum(sizes.values()) < 3 * x.nbytes
+
+
+def test_double_precision_decides_at_the_threshold(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "TILE", 40)
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(120, 20))
+    # Cosines to the first one from a little below 0.9 to a little above.
+    axis = x[0] / np.linalg.norm(x[0])
+    side = x[1:] - np.outer(x[1:] @ axis, axis)
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = 0.9 + np.linspace(-1e-7, 1.1e-7, 119)[:, None]
+    x[1:] = cosine * axis + np.sqrt(1 - cosine**2) * side
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    found = as_dict(embedding_dedup.classes(spark.createDataFrame(rows, "vec_id long, embedding array<double>")))
+    norms = np.sqrt((x * x).sum(1))
+    links = ((x @ x.T) / np.outer(norms, norms) >= 0.9).sum(1) - 1
+    assert {i: n for i, (n, _, _) in found.items()} == dict(enumerate(links.tolist()))

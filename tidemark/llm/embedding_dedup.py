@@ -1,18 +1,20 @@
 """Near-duplicate vectors: all pairs by cosine, compared in tiles along principal components.
 
-* Vectors of one direction are one *node* with a multiplicity: equal copies are merged before any comparison.
+* Equal vectors are one *node* with a multiplicity: copies are merged before any comparison.
 * Nodes are turned to the axes of a principal component analysis, fitted on a bounded sample, with the leading axes
   first. A turn changes no cosine. They are dealt to tiles by a median tree over the leading axes, fitted on the same
-  sample, so a tile is a box there; tiles of more than ``TILE`` nodes are dealt further by a hash.
-* Each pair of tiles is a unit of bounded size. It is dropped before any data moves if the boxes are too far
-  apart. In a unit, products are summed over the leading axes first; what the other axes can add is at most the
-  product of the norms of the two rests, so a pair goes as soon as its sum and that bound stay below the threshold. The
-  few pairs left are computed from the original components in double precision.
-* A unit returns the number of links of each node and a forest of its links, never the pairs.
+  sample; a tile holds vectors of one leaf, is a box there, and is one row of a written table, in the vectors' own precision.
+* That table is joined with itself as a product of its files: a task reads two of them where they lie, so nothing is
+  shuffled, and the disk holds a vector a fixed number of times, however many tiles it is compared with. Pairs of tiles whose
+  boxes are too far apart are dropped by the join's condition, before their vectors move to Python.
+* In a pair of tiles, products are summed over the leading axes first; what the other axes can add is at most the product of the
+  norms of the two rests. A rest is one more axis, so the sum and that bound are one matrix product, in single precision with room
+  for its rounding. The pairs left are computed from the original components in double precision.
+* A task returns the number of links of each node and a forest of its links, never the pairs.
 
 Every row is compared, with every row whose tile can be near enough. A vector that is null, empty or zero, or has null or
 non-finite components, links with nothing; so do vectors of different lengths with each other. Ties and repeated rows
-are links like any other.
+are links like any other. Rows find the figures of their vector by its MD5. The input is read more than once.
 """
 
 from __future__ import annotations
@@ -21,20 +23,31 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from tidemark.llm.components import components
 from tidemark.llm.spread import written
+from tidemark.session import settings
 
 THRESHOLD = 0.9
 # The axes and the tree are fitted on at most so many rows.
 SAMPLE = 4000
-TILE = 4096
-STEP = 16
-BLOCK = 1024
+# Rows of a tile and bytes of its vectors, at most.
+TILE = 32768
+TILE_BYTES = 8 << 20
+BLOCK = 512
+# Bytes of vectors in a file of tiles; few rows are spread over up to so many files.
+PART_BYTES = 32 << 20
+PARTS = 16
+# Bytes of turned vectors that a task keeps for the next pairs of tiles.
+KEPT_BYTES = 32 << 20
 # Rounding of sums in any order.
 SLACK = 1e-9
+# Squared norms outside of these may have lost digits, or all.
+SOUND = (1e-280, 1e280)
 
 
 @dataclass(frozen=True)
@@ -73,97 +86,174 @@ def fit_axes(sample: np.ndarray, depth: int) -> Axes:
     return Axes(turn, cuts)
 
 
-def _matrix(blobs: list[bytes], n: int) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs), "<f8").reshape(len(blobs), n)
+def _matrix(data, kind: str, size: int) -> np.ndarray:
+    return np.frombuffer(data, kind).reshape(-1, size)
 
 
-def _close(left, right, threshold: float):
-    """Pairs (place on the left, place on the right) with a cosine of at least the threshold.
+def _rows(column: pa.Array, kind: str, size: int) -> np.ndarray:
+    return _matrix(b"".join(column.to_pylist()), kind, size)
 
-    A side is (original vectors, turned unit vectors, norms of what is left of the turned ones after each step).
+
+def _unit(a: np.ndarray) -> np.ndarray:
+    a = a.astype("f8")
+    a /= np.abs(a).max(1, keepdims=True)
+    a /= np.sqrt((a * a).sum(1, keepdims=True))
+    return a
+
+
+def _screen(x: np.ndarray, turn: np.ndarray) -> np.ndarray:
+    """Unit vectors on the axes of ``turn`` and, as one axis more, the norm of what these leave."""
+    lead = x @ turn
+    rest = np.sqrt(np.maximum((x * x).sum(1) - (lead * lead).sum(1), 0))
+    return np.c_[lead, rest].astype("f4")
+
+
+def _slack(axes: int) -> float:
+    """What rounding to single precision can take from a product of two rows of a screen."""
+    return (axes + 8) * 2.0**-23
+
+
+def leading(sample: np.ndarray, turn: np.ndarray, threshold: float) -> int:
+    """With how many leading axes the comparison is cheapest, by the pairs of the sample.
+
+    The weights are nanoseconds as measured: of an axis, of a pair that is left, and of looking for pairs in a block.
     """
-    a, x, x_rest = left
-    b, y, y_rest = right
-    dims = x.shape[1]
-    live = None
-    for k, lo in enumerate(range(0, dims, STEP)):
-        hi = min(lo + STEP, dims)
-        if live is None:
-            part = x[:, lo:hi] @ y[:, lo:hi].T
-            live = np.nonzero(part + x_rest[k][:, None] * y_rest[k][None, :] >= threshold - SLACK)
-            sums = part[live]
-            if len(sums) > part.size // 4:
-                # Mostly near ones: whole products are cheaper than going on pair by pair.
-                live = np.nonzero(x @ y.T >= threshold - SLACK)
-                break
-        else:
-            i, j = live
-            sums = sums + np.einsum("nd,nd->n", x[i, lo:hi], y[j, lo:hi])
-            keep = sums + x_rest[k][i] * y_rest[k][j] >= threshold - SLACK
-            live, sums = (i[keep], j[keep]), sums[keep]
-    i, j = live
-    found = np.zeros(len(i), bool)
-    for lo in range(0, len(i), 1 << 17):
-        p, q = i[lo : lo + (1 << 17)], j[lo : lo + (1 << 17)]
-        dots = np.einsum("nd,nd->n", a[p], b[q])
-        norms = np.sqrt(np.einsum("nd,nd->n", a[p], a[p])) * np.sqrt(np.einsum("nd,nd->n", b[q], b[q]))
-        found[lo : lo + (1 << 17)] = dots / norms >= threshold
-    return i[found], j[found]
-
-
-def _sides(a: np.ndarray, x: np.ndarray):
-    rest = [np.sqrt(np.maximum((x[:, lo + STEP :] ** 2).sum(1), 0)) for lo in range(0, x.shape[1], STEP)]
-    return a, x, rest
-
-
-class _Forest:
-    """Union of links into the least member."""
-
-    def __init__(self, n: int):
-        self.label = np.arange(n)
-
-    def add(self, i: np.ndarray, j: np.ndarray) -> None:
-        while len(i):
+    x, size = sample[:2000], len(turn)
+    best, cost = size, np.inf
+    for n in sorted({min(size, k) for k in (7, 15, 23, 31, 47, 63, 95, 127, 255, 511, size)}):
+        own = _screen(x, turn[:, :n])
+        left = (own @ own.T >= threshold - _slack(n)).sum() - len(x)
+        share = max(int(left), 0) / max(len(x) * (len(x) - 1), 1)
+        nanoseconds = 0.02 * (n + 1) + 100 * share + 0.3 * min(1, share * BLOCK * BLOCK)
+        if nanoseconds < cost:
+            best, cost = n, nanoseconds
+    return best
+
+
+@dataclass(frozen=True)
+class Side:
+    """Some vectors as given, and their screen."""
+
+    vectors: np.ndarray
+    screen: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.vectors)
+
+    def block(self, lo: int, rows: int) -> "Side":
+        return Side(self.vectors[lo : lo + rows], self.screen[lo : lo + rows])
+
+
+def _linked(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether the vectors of two lists, one by one, have a cosine of at least the threshold."""
+    a, b = a.astype("f8"), b.astype("f8")
+    norms = np.sqrt(np.einsum("nd,nd->n", a, a)) * np.sqrt(np.einsum("nd,nd->n", b, b))
+    return np.einsum("nd,nd->n", a, b) / norms >= threshold
+
+
+def _close(left: Side, right: Side, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (place on the left, place on the right) with a cosine of at least the threshold."""
+    bound = left.screen @ right.screen.T
+    least = np.float32(threshold - _slack(left.screen.shape[1]))
+    if not bound.max() >= least:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    i, j = np.divmod(np.flatnonzero(bound >= least), len(right))
+    sure = np.zeros(len(i), bool)
+    if len(i) > bound.size // 32:
+        # Mostly near ones: whole products are cheaper, and leave few pairs that are not clear.
+        product = _unit(left.vectors) @ _unit(right.vectors).T
+        i, j = np.nonzero(product >= threshold - SLACK)
+        sound = [_sound(side.vectors) for side in (left, right)]
+        sure = (product[i, j] >= threshold + SLACK) & sound[0][i] & sound[1][j]
+    for open_ in np.array_split(np.flatnonzero(~sure), 1 + len(i) // (1 << 16)):
+        sure[open_] = _linked(left.vectors[i[open_]], right.vectors[j[open_]], threshold)
+    return i[sure], j[sure]
+
+
+def _sound(a: np.ndarray) -> np.ndarray:
+    a = a.astype("f8")
+    squares = np.einsum("nd,nd->n", a, a)
+    return (squares > SOUND[0]) & (squares < SOUND[1])
+
+
+class _Found:
+    """Links of the nodes of the tiles that a task has seen, and their union into the least places."""
+
+    def __init__(self):
+        self.first: dict[int, int] = {}
+        self.node = self.links = self.label = np.zeros(0, np.int64)
+
+    def place(self, tile: int, node: np.ndarray) -> int:
+        """Where the nodes of the tile start."""
+        if tile not in self.first:
+            self.first[tile] = len(self.node)
+            self.label = np.r_[self.label, np.arange(len(node)) + len(self.node)]
+            self.node = np.r_[self.node, node]
+            self.links = np.r_[self.links, np.zeros(len(node), np.int64)]
+        return self.first[tile]
+
+    def count(self, at: int, i: np.ndarray, copies: np.ndarray) -> None:
+        counts = np.bincount(i, copies).astype(np.int64)
+        self.links[at : at + len(counts)] += counts
+
+    def unite(self, i: np.ndarray, j: np.ndarray) -> None:
+        while True:
+            apart = self.label[i] != self.label[j]
+            i, j = i[apart], j[apart]
+            if not len(i):
+                return
             a, b = self.label[i], self.label[j]
             least = np.minimum(a, b)
             np.minimum.at(self.label, a, least)
             np.minimum.at(self.label, b, least)
             while (self.label != self.label[self.label]).any():
                 self.label = self.label[self.label]
-            apart = self.label[i] != self.label[j]
-            i, j = i[apart], j[apart]
+
+    def batch(self) -> pa.RecordBatch:
+        some = self.links > 0
+        columns = [pa.array(c[some]) for c in (self.node, self.links, self.node[self.label])]
+        return pa.RecordBatch.from_arrays(columns, ["node", "links", "least"])
 
 
-def _compare(threshold: float):
-    def of_unit(table: pa.Table) -> pa.Table:
-        node = table.column("node").to_numpy()
-        tile, other = table.column("tile").to_numpy(), table.column("other")[0].as_py()
-        first = table.column("first")[0].as_py()
-        copies = table.column("copies").to_numpy()
-        n = len(table.column("vector")[0].as_py()) // 8
-        a = _matrix(table.column("vector").to_pylist(), n)
-        x = _matrix(table.column("turned").to_pylist(), n)
-        rows, columns = np.flatnonzero(tile == first), np.flatnonzero(tile == other)
-        links, forest_ = np.zeros(len(node), np.int64), _Forest(len(node))
-        left = [(own := rows[lo : lo + BLOCK], _sides(a[own], x[own])) for lo in range(0, len(rows), BLOCK)]
-        right = left if first == other else [
-            (own := columns[lo : lo + BLOCK], _sides(a[own], x[own])) for lo in range(0, len(columns), BLOCK)
-        ]
-        for p, (own, side) in enumerate(left):
-            for q, (others, other_side) in enumerate(right):
-                if first == other and q < p:
-                    continue
-                i, j = _close(side, other_side, threshold)
-                if first == other and p == q:
-                    i, j = i[i < j], j[i < j]
-                i, j = own[i], others[j]
-                links += np.bincount(i, copies[j], len(node)).astype(np.int64)
-                links += np.bincount(j, copies[i], len(node)).astype(np.int64)
-                forest_.add(i, j)
-        some = links > 0
-        return pa.table({"node": node[some], "links": links[some], "least": node[forest_.label][some]})
-
-    return of_unit
+def _compare(turn: np.ndarray, kind: str, threshold: float):
+    """Links within pairs of tiles (``first_`` and ``other_``)."""
+    size, rows, limit = len(turn), BLOCK, KEPT_BYTES
+
+    def run(batches):
+        found, kept = _Found(), {}
+
+        def side(batch, k, name):
+            tile = batch.column(f"{name}_tile")[k].as_py()
+            node, copies = (np.frombuffer(batch.column(f"{name}_{c}")[k].as_buffer(), "<i8") for c in ("nodes", "copies"))
+            vectors = _matrix(batch.column(f"{name}_vectors")[k].as_buffer(), kind, size)
+            if tile not in kept:
+                while kept and (len(kept) + 1) * max(s.nbytes for s in kept.values()) > limit:
+                    del kept[next(iter(kept))]
+                kept[tile] = _screen(_unit(vectors), turn)
+            return tile, Side(vectors, kept[tile]), copies, found.place(tile, node)
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                first, left, left_copies, at = side(batch, k, "first")
+                other, right, right_copies, to = side(batch, k, "other")
+                for lo in range(0, len(left), rows):
+                    for hi in range(lo if first == other else 0, len(right), rows):
+                        i, j = _close(left.block(lo, rows), right.block(hi, rows), threshold)
+                        if first == other and lo == hi:
+                            i, j = i[i < j], j[i < j]
+                        if len(i):
+                            found.count(at + lo, i, right_copies[hi + j])
+                            found.count(to + hi, j, left_copies[lo + i])
+                            found.unite(at + lo + i, to + hi + j)
+        yield found.batch()
+
+    return run
+
+
+def _step(table: DataFrame, label: str, **values: str) -> DataFrame:
+    """The frame as a written table. The shuffles on the way to it go at once, so that steps do not add up on disk."""
+    with settings(table.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true", **values):
+        return written(table, label)
 
 
 def _can_link() -> Column:
@@ -178,119 +268,148 @@ def _can_link() -> Column:
     return F.coalesce(good, F.lit(False)) & F.col("vec_id").isNotNull()
 
 
+def _kind(vectors: DataFrame) -> str:
+    """How components are kept: as given if they are single, in double precision otherwise."""
+    return "<f4" if isinstance(vectors.schema["embedding"].dataType.elementType, FloatType) else "<f8"
+
+
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id, vector: little-endian doubles of the rows that can link."""
-    rows = vectors.select("vec_id", "embedding").where(_can_link())
+    """vec_id, vector: little-endian components of the rows that can link."""
+    rows, kind = vectors.select("vec_id", "embedding").where(_can_link()), _kind(vectors)
+    arrow = pa.float32() if kind == "<f4" else pa.float64()
 
     def run(batches):
         for batch in batches:
             column = batch.column("embedding")
-            flat = column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+            flat = column.flatten().cast(arrow).to_numpy(zero_copy_only=False)
             sizes = np.diff(np.asarray(column.offsets))
             edges = np.concatenate([[0], np.cumsum(sizes)])
-            blobs = [flat[a:b].astype("<f8").tobytes() for a, b in zip(edges[:-1], edges[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(blobs, pa.binary())], ["vec_id", "vector"])
+            places = pa.py_buffer((edges * np.dtype(kind).itemsize).astype("<i4"))
+            data = pa.py_buffer(np.ascontiguousarray(flat, kind))
+            blobs = pa.Array.from_buffers(pa.binary(), len(sizes), [None, places, data])
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), blobs], ["vec_id", "vector"])
 
-    kind = vectors.schema["vec_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"vec_id {kind}, vector binary")
+    id_kind = vectors.schema["vec_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"vec_id {id_kind}, vector binary")
 
 
-def _unit(a: np.ndarray) -> np.ndarray:
-    a = a / np.abs(a).max(1, keepdims=True)
-    return a / np.sqrt((a * a).sum(1, keepdims=True))
+TILES = "tile long, low array<double>, high array<double>, nodes binary, copies binary, vectors binary"
 
 
-def links(nodes: DataFrame, size: int, threshold: float = THRESHOLD) -> DataFrame:
-    """Links and a forest of the nodes (node, vector, copies) of one vector length."""
-    spark = nodes.sparkSession
-    own = nodes.where(F.octet_length("vector") == 8 * size)
-    n = own.count()
-    sample = own.orderBy(F.xxhash64("vector")).limit(SAMPLE).select("vector").collect()
-    depth = int(np.clip(np.ceil(np.log2(max(n / TILE, 1))), 0, int(np.log2(SAMPLE / 16))))
-    axes = fit_axes(_unit(_matrix([r[0] for r in sample], size)), depth)
-    lead = min(depth, size) or 1
+def tiles(own: DataFrame, axes: Axes, kind: str, files: int, limit: int) -> DataFrame:
+    """The nodes (node, copies, vector) in rows of at most ``limit``, each of one leaf, with their box on the tree's axes."""
+    size = len(axes.turn)
+    lead = Axes(np.ascontiguousarray(axes.turn[:, : min(axes.depth, size) or 1]), axes.cuts)
 
-    def turned(batches):
+    def dealt(batches):
         for batch in batches:
-            x = _unit(_matrix(batch.column("vector").to_pylist(), size)) @ axes.turn
-            made = [pa.array([r.tobytes() for r in x], pa.binary()), pa.array(axes.leaf(x), pa.int64())]
-            made.append(pa.array(list(x[:, :lead]), pa.list_(pa.float64())))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "turned", "leaf", "lead"])
-
-    table = written(
-        own.select("node", "vector", "copies").mapInArrow(
-            turned, "node long, vector binary, copies long, turned binary, leaf long, lead array<double>"
-        ),
-        "turned",
-    )
-    boxes = table.groupBy("leaf").agg(
-        F.ceil(F.count(F.lit(1)) / TILE).alias("parts"),
-        F.array(*[F.min(F.col("lead")[i]) for i in range(lead)]).alias("low"),
-        F.array(*[F.max(F.col("lead")[i]) for i in range(lead)]).alias("high"),
+            leaf = lead.leaf(_unit(_rows(batch.column("vector"), kind, size)) @ lead.turn)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], [*batch.schema.names, "leaf"])
+
+    def tile(held: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        vectors = b"".join(table.column("vector").to_pylist())
+        x = _unit(_matrix(vectors, kind, size)) @ lead.turn
+        columns = [pa.array([number]), *(pa.array([list(box)], pa.list_(pa.float64())) for box in (x.min(0), x.max(0)))]
+        columns += [pa.array([table.column(c).to_numpy().astype("<i8").tobytes()], pa.binary()) for c in ("node", "copies")]
+        return pa.RecordBatch.from_arrays(
+            [*columns, pa.array([vectors], pa.binary())], ["tile", "low", "high", "nodes", "copies", "vectors"]
+        )
+
+    def packed(batches):
+        number = TaskContext.get().partitionId() << 32
+        held, count, last = [], 0, None
+        for batch in batches:
+            leaf = batch.column("leaf").to_numpy()
+            at = 0
+            while at < len(leaf):
+                if count and (count == limit or leaf[at] != last):
+                    yield tile(held, number)
+                    held, count, number = [], 0, number + 1
+                last = leaf[at]
+                end = min(int(np.searchsorted(leaf, last, "right")), at + limit - count)
+                held.append(batch.slice(at, end - at))
+                count, at = count + end - at, end
+        if count:
+            yield tile(held, number)
+
+    leaves = own.select("node", "copies", "vector").mapInArrow(dealt, "node long, copies long, vector binary, leaf long")
+    spread = leaves.repartitionByRange(files, "leaf", "node").sortWithinPartitions("leaf")
+    return _step(spread.mapInArrow(packed, TILES), "tiles")
+
+
+def links(nodes: DataFrame, kind: str, size: int, threshold: float = THRESHOLD) -> DataFrame:
+    """Links and a forest of the nodes (node, vector, copies) of one vector length, as a written table."""
+    width = np.dtype(kind).itemsize * size
+    own = nodes.where(F.octet_length("vector") == width)
+    n = own.count()
+    sample = _unit(
+        _matrix(b"".join(r[0] for r in own.orderBy(F.xxhash64("vector")).limit(SAMPLE).select("vector").collect()), kind, size)
     )
-    # One row per leaf, of which the bounded depth of the tree allows SAMPLE / 16 at most.
-    found = sorted(boxes.collect())
-    low, high = (np.array([r[k] for r in found], float).reshape(-1, lead) for k in ("low", "high"))
-    gaps = np.maximum(np.maximum(low[:, None] - high[None], low[None] - high[:, None]), 0)
+    limit = max(1, min(TILE, TILE_BYTES // width))
+    depth = int(np.clip(np.ceil(np.log2(max(n / limit, 1))), 0, int(np.log2(SAMPLE / 16))))
+    axes = fit_axes(sample, depth)
+    files = max(-(-n * width // PART_BYTES), min(PARTS, -(-n // limit)))
+    dealt = tiles(own, axes, kind, files, limit)
+
+    first, other = (dealt.select(*[F.col(c).alias(f"{name}_{c}") for c in dealt.columns]) for name in ("first", "other"))
     # Unit vectors are near if their distance is at most this; boxes further apart have no link.
-    near = (gaps**2).sum(2) <= (np.sqrt(max(2 - 2 * threshold, 0)) + 1e-6) ** 2
-    pairs = [
-        (found[p]["leaf"], found[p]["parts"], found[q]["leaf"], found[q]["parts"])
-        for p, q in zip(*np.nonzero(np.triu(near)))
+    reach = float(np.sqrt(max(2 - 2 * threshold, 0)) + 1e-6)
+    gaps = [
+        F.greatest(F.col("first_low")[k] - F.col("other_high")[k], F.col("other_low")[k] - F.col("first_high")[k], F.lit(0.0))
+        for k in range(min(depth, size) or 1)
     ]
-    tiles = written(
-        spark.createDataFrame(pairs, "p long, m long, q long, n long")
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-        .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-        .where("p < q OR i <= j")
-        .select(
-            (F.col("p") * 1_000_000 + F.col("i")).alias("first"), (F.col("q") * 1_000_000 + F.col("j")).alias("other")
-        ),
-        "tiles",
-    )
-    parts = spark.createDataFrame([(r["leaf"], r["parts"]) for r in found], "leaf long, parts long")
-    dealt = table.join(F.broadcast(parts), "leaf").select(
-        "node", "vector", "copies", "turned", (F.col("leaf") * 1_000_000 + F.pmod(F.xxhash64("node"), "parts")).alias("tile")
-    )
-    partners = tiles.select(F.col("first").alias("tile"), "first", "other").unionAll(
-        tiles.where("first < other").select(F.col("other").alias("tile"), "first", "other")
-    )
-    return dealt.join(partners, "tile").groupBy("first", "other").applyInArrow(
-        _compare(threshold), "node long, links long, least long"
+    near = sum((gap * gap for gap in gaps), F.lit(0.0)) <= reach**2
+    # Each two tiles meet once, on either side by turns, so that the product's tasks have as much to do each.
+    even = (F.col("first_tile") + F.col("other_tile")) % 2 == 0
+    once = (F.col("first_tile") == F.col("other_tile")) | ((F.col("first_tile") < F.col("other_tile")) == even)
+    pairs = first.hint("shuffle_replicate_nl").join(other, near & once)
+    turn = np.ascontiguousarray(axes.turn[:, : leading(sample, axes.turn, threshold)])
+    found = pairs.select(*[f"{name}_{c}" for name in ("first", "other") for c in ("tile", "nodes", "copies", "vectors")])
+    # A file of tiles is one partition; a pair of tiles is one batch.
+    whole = str(2 * PART_BYTES)
+    return _step(
+        found.mapInArrow(_compare(turn, kind, threshold), "node long, links long, least long"),
+        "links",
+        spark__sql__files__maxPartitionBytes=whole,
+        spark__sql__files__openCostInBytes=whole,
+        spark__sql__execution__arrow__maxRecordsPerBatch="1",
     )
 
 
 def classes(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links (other vectors linked directly), component_id (least id reachable) and kept."""
-    rows = written(usable(vectors), "vectors")
-    nodes = written(
+    rows, kind = usable(vectors), _kind(vectors)
+    name = F.unhex(F.md5("vector")).alias("name")
+    nodes = _step(
         rows.groupBy("vector")
         .agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"))
-        .withColumn("node", F.monotonically_increasing_id()),
+        .select(F.monotonically_increasing_id().alias("node"), "vec_id", "copies", name, "vector"),
         "nodes",
     )
-    sizes = [r[0] // 8 for r in nodes.select(F.octet_length("vector")).distinct().collect()]
+    widths = [r[0] for r in nodes.select(F.octet_length("vector")).distinct().collect()]
     found = None
-    for size in sorted(sizes):
-        own = links(nodes, size, threshold)
+    for width in sorted(widths):
+        own = links(nodes, kind, width // np.dtype(kind).itemsize, threshold)
         found = own if found is None else found.unionAll(own)
     if found is None:
         found = vectors.sparkSession.createDataFrame([], "node long, links long, least long")
-    found = written(found, "links")
     joined = components(found.select(F.col("least").alias("a"), F.col("node").alias("b")))
     least_id = joined.join(nodes, "node").groupBy("component").agg(F.min("vec_id").alias("component_id"))
-    by_vector = written(
+    by_vector = _step(
         nodes.join(found.groupBy("node").agg(F.sum("links").alias("links")), "node", "left")
         .join(joined.join(least_id, "component").select("node", "component_id"), "node", "left")
         .select(
-            "vector",
+            "name",
             F.coalesce("component_id", "vec_id").alias("component_id"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         ),
         "classes",
     )
     # A row has the figures of its own vector, also where its id is repeated with another one.
-    linked = rows.join(by_vector, "vector").select("vec_id", F.col("n_links").cast("long"), "component_id")
+    linked = rows.select("vec_id", name).join(by_vector, "name").select(
+        "vec_id", F.col("n_links").cast("long"), "component_id"
+    )
     alone = vectors.where(~_can_link()).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
