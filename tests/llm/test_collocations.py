@@ -95,6 +95,30 @@ def test_a_third_of_all_words_the_same(spark, monkeypatch):
     assert mined(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
 
 
+@pytest.mark.parametrize("reach, fan", [(1 << 20, 256), (50, 4)])
+def test_neither_words_nor_phrases_are_broadcast(spark, monkeypatch, reach, fan):
+    monkeypatch.setattr(collocations, "RANGE_WORDS", reach)
+    monkeypatch.setattr(collocations, "FAN", fan)
+    plans, write = {}, collocations.written
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def noted(df, label):
+        # Of the vocabulary only the sums of its ranges are.
+        if label != "vocabulary":
+            plans[label] = plan(df)
+        return write(df, label)
+
+    monkeypatch.setattr(collocations, "written", noted)
+    rows = sample()
+    found = collocations.collocations(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(tuple(r) for r in found.collect()) == brute(rows)
+    plans["result"] = plan(found)
+    assert {"phrases", "counts"} < set(plans) and "SortMergeJoin" in plans["result"]
+    assert [label for label, own in plans.items() if "Broadcast" in own] == []
+
+
 def test_products_beyond_64_bits(spark):
     from pyspark.sql import functions as F
 

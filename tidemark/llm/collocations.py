@@ -11,7 +11,7 @@ phrase's parts are looked up by composition with the count automata, which is a
 Words and pieces are bytes of the whole text; only A to Z are lower-cased. A null or empty text has no words; one of any length
 counts whole, a block of words at a time. A null language is ``und``. Repeated rows count as often as they come, ties rank by phrase
 in byte order, an empty table gives no phrases. Only ``lang`` and ``text`` are read, so other columns cannot clash.
-Counts must stay below 10**15.
+Counts must stay below 10**15. No vocabulary or table of phrases passes the driver, of whatever size (``_merged``).
 """
 
 from __future__ import annotations
@@ -159,6 +159,12 @@ def shards(docs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- counts
 
 
+def _merged(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A join that is never a broadcast. Spark sizes a side by its compressed files and the columns taken, or by what it was
+    before an explode; of a vocabulary or of phrases that is several times too low, and the driver would hold them as a hash map."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def vocabulary(table: DataFrame) -> DataFrame:
     """Per language and word its count, its number from 1 on in byte order, and its prefix ranges."""
     pairs = table.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("pair"))
@@ -180,7 +186,7 @@ def vocabulary(table: DataFrame) -> DataFrame:
 def renamed(table: DataFrame, vocab: DataFrame, width: int) -> DataFrame:
     """The shards' automata with the vocabulary's numbers, cut into prefix ranges, ``width`` together."""
     places = table.select("shard", "lang", F.posexplode("words").alias("place", "word"))
-    known = places.join(vocab, ["lang", "word"]).select(
+    known = _merged(places, vocab, ["lang", "word"]).select(
         F.col("shard").alias("of_shard"), "place", "id", "first", "ranges"
     )
 
@@ -294,19 +300,18 @@ def collocations(docs: DataFrame, least: int = LEAST, first: int = FIRST, held:
 
     holders = [triples.select("lang", F.col(x).alias("a"), F.col(y).alias("b"), F.col("n").alias("longer")) for x, y in ("ab", "bc")]
     longest = reduce(DataFrame.unionByName, holders).groupBy("lang", "a", "b").agg(F.max("longer").alias("longer"))
-    kept = pairs.join(longest, ["lang", "a", "b"], "left").where(
+    kept = _merged(pairs, longest, ["lang", "a", "b"], "left").where(
         F.col("longer").isNull() | (F.col("longer") * 100 < F.col("n") * held)
     )
-    two = kept.join(word("a", "l"), ["lang", "a"]).join(word("b", "r"), ["lang", "b"]).select(
+    two = _merged(_merged(kept, word("a", "l"), ["lang", "a"]), word("b", "r"), ["lang", "b"]).select(
         "lang", "a", "b", F.lit(0).cast("long").alias("c"), "n", "l", "r", _score("n", "l", "r").alias("score")
     )
-    parts = (
-        triples.join(pair("a", "b", "l2"), ["lang", "a", "b"])
-        .join(pair("b", "c", "r1"), ["lang", "b", "c"])
-        .join(word("a", "l1"), ["lang", "a"])
-        .join(word("c", "r2"), ["lang", "c"])
-        .withColumns({"s1": _score("n", "l1", "r1"), "s2": _score("n", "l2", "r2")})
-    )
+    parts = triples
+    for own, labels in (
+        (pair("a", "b", "l2"), ["a", "b"]), (pair("b", "c", "r1"), ["b", "c"]), (word("a", "l1"), ["a"]), (word("c", "r2"), ["c"])
+    ):
+        parts = _merged(parts, own, ["lang", *labels])
+    parts = parts.withColumns({"s1": _score("n", "l1", "r1"), "s2": _score("n", "l2", "r2")})
     late = F.col("s2") < F.col("s1")
     three = parts.select(
         "lang", "a", "b", "c", "n",
@@ -321,12 +326,12 @@ def collocations(docs: DataFrame, least: int = LEAST, first: int = FIRST, held:
     text = vocab.select("lang", "id", F.col("word").cast("string").alias("word"))
     for label in ("a", "b", "c"):
         named = text.select("lang", F.col("id").alias(label), F.col("word").alias(f"word_{label}"))
-        near = near.join(named, ["lang", label], "left")
+        near = _merged(near, named, ["lang", label], "left")
     phrase = F.concat_ws(" ", "word_a", "word_b", "word_c")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("n"), "phrase")
     ranked = near.withColumn("phrase", phrase).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= first)
     totals = vocab.groupBy("lang").agg(F.sum("n").alias("total"))
-    return ranked.join(totals, "lang").select(
+    return _merged(ranked, totals, ["lang"]).select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", F.col("n").alias("a"), "l", "r",
         F.col("total").alias("n"), "score",
     )
