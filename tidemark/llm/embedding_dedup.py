@@ -116,15 +116,16 @@ def _slack(axes: int) -> float:
 def leading(sample: np.ndarray, turn: np.ndarray, threshold: float) -> int:
     """With how many leading axes the comparison is cheapest, by the pairs of the sample.
 
-    The weights are nanoseconds as measured: of an axis, of a pair that is left, and of looking for pairs in a block.
+    The weights are nanoseconds as measured: of an axis, of a pair that is left without need, and of looking for pairs in a block.
     """
     x, size = sample[:2000], len(turn)
+    linked = int((x @ x.T >= threshold).sum())
     best, cost = size, np.inf
     for n in sorted({min(size, k) for k in (7, 15, 23, 31, 47, 63, 95, 127, 255, 511, size)}):
         own = _screen(x, turn[:, :n])
-        left = (own @ own.T >= threshold - _slack(n)).sum() - len(x)
-        share = max(int(left), 0) / max(len(x) * (len(x) - 1), 1)
-        nanoseconds = 0.02 * (n + 1) + 100 * share + 0.3 * min(1, share * BLOCK * BLOCK)
+        left = int((own @ own.T >= threshold - _slack(n)).sum()) - linked
+        share = max(left, 0) / max(len(x) * (len(x) - 1), 1)
+        nanoseconds = 0.02 * (n + 1) + 100 * share + 0.4 * min(1, share * BLOCK * BLOCK)
         if nanoseconds < cost:
             best, cost = n, nanoseconds
     return best
@@ -157,7 +158,9 @@ def _close(left: Side, right: Side, threshold: float) -> tuple[np.ndarray, np.nd
     least = np.float32(threshold - _slack(left.screen.shape[1]))
     if not bound.max() >= least:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    i, j = np.divmod(np.flatnonzero(bound >= least), len(right))
+    some = np.flatnonzero(bound.max(1) >= least)
+    i, j = np.nonzero(bound[some] >= least)
+    i = some[i]
     sure = np.zeros(len(i), bool)
     if len(i) > bound.size // 32:
         # Mostly near ones: whole products are cheaper, and leave few pairs that are not clear.
